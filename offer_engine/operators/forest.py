@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,13 +37,19 @@ def train_segments(
     segments: Sequence[str] = C.SEGMENTS,
     params: C.ForestParams = C.ForestParams(),
 ) -> Models:
-    """A model for each segment that has training rows. Each fit is a distributed job."""
-    models = {}
-    for segment in segments:
+    """A model for each segment that has training rows.
+
+    Each fit is a series of distributed jobs. The fits are started together, so that one
+    segment's small stages do not leave the cluster idle.
+    """
+
+    def fit(segment: str) -> RandomForestRegressionModel | None:
         train = segment_rows(splits, segment, "train").select("features", C.LABEL)
-        if not train.isEmpty():
-            models[segment] = train_forest(train, params)
-    return models
+        return None if train.isEmpty() else train_forest(train, params)
+
+    with ThreadPool(max(len(segments), 1)) as pool:
+        fitted = pool.map(inheritable_thread_target(splits.sparkSession)(fit), segments)
+    return {segment: model for segment, model in zip(segments, fitted) if model is not None}
 
 
 def score(

@@ -34,7 +34,7 @@ def interactions(spark: SparkSession, folder: str) -> DataFrame:
     """The raw log: one row per event, details nested in value, time in days by the hour."""
     events = spark.read.parquet(f"{folder}/events.parquet")
     event = _lookup(F.col("event_type"), EVENT_NAMES, "other")
-    offer = F.get_json_object("props", "$.k")
+    offer = F.regexp_extract("props", r'"k":\s*(\d+)', 1)
     hours = F.expr("timestampdiff(HOUR, timestamp_ntz'2024-01-01 00:00:00', ts)")
     kind = F.col("event_type")
     value = F.struct(
