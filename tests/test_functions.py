@@ -1,0 +1,57 @@
+from pyspark.sql import functions as F
+
+from offer_engine.functions import columns as X
+
+
+def column(spark, rows, kind, expression):
+    df = spark.createDataFrame([(r,) for r in rows], f"x {kind}")
+    return [r[0] for r in df.select(expression(F.col("x"))).collect()]
+
+
+def test_age_groups(spark):
+    ages = [17, 29, 30, 39, 40, 69, 70]
+    assert column(spark, ages, "int", X.age_group) == [
+        "18-29", "18-29", "30-39", "30-39", "40-49", "60-69", "70+"
+    ]
+
+
+def test_spending_segments(spark):
+    spent = [0.0, 89.99, 90.0, 160.99, 161.0]
+    assert column(spark, spent, "double", X.spending_segment) == [
+        "Low Spender", "Low Spender", "Medium Spender", "Medium Spender", "High Spender"
+    ]
+
+
+def test_gender_index(spark):
+    assert column(spark, ["F", "M", "O", "X", None], "string", X.gender_index) == [
+        0.0, 1.0, 2.0, None, None
+    ]
+
+
+def test_days(spark):
+    assert column(spark, [0.0, 0.99, 1.0, None], "double", X.day_of) == [0, 0, 1, None]
+
+
+def test_ratios_without_a_whole(spark):
+    df = spark.createDataFrame([(1, 2), (1, 0), (None, 2)], "a int, b int")
+    a, b = F.col("a"), F.col("b")
+    assert [r[0] for r in df.select(X.ratio(a, b)).collect()] == [0.5, None, None]
+    assert [r[0] for r in df.select(X.ratio(a, b, 0.0)).collect()] == [0.5, 0.0, None]
+    assert [r[0] for r in df.select(X.percent(a, b)).collect()] == [50.0, None, None]
+
+
+def test_percent_rounds(spark):
+    df = spark.createDataFrame([(1, 3)], "a int, b int")
+    assert df.select(X.percent(F.col("a"), F.col("b"))).first()[0] == 33.33
+
+
+def test_money_sum_is_exact_in_any_order(spark):
+    df = spark.createDataFrame([(0.1,)] * 10 + [(1e9,)], "x double").repartition(4)
+    assert df.agg(F.sum(X.money("x")).cast("double")).first()[0] == 1000000001.0
+
+
+def test_hash32_is_the_md5_prefix(spark):
+    import hashlib
+
+    got = column(spark, ["a", "17"], "string", lambda c: X.hash32("x"))
+    assert got == [int(hashlib.md5(v.encode()).hexdigest()[:8], 16) for v in ("a", "17")]
