@@ -1,9 +1,10 @@
 """Heavy keys of an event log.
 
 Two groupings of the log can hold far more rows than one task should take: one account, and
-one account at one instant. A frequent-items sketch finds them in a single pass with bounded
-state; what it returns is a short list of key hashes. Results never depend on that list, only
-the shape of the plan does.
+one account at one instant. Rows are counted per hash bucket of the key, which every map task
+reduces to a small table; a bucket far above the average holds a heavy key. The few light keys
+in such a bucket are treated as heavy too, which is harmless: results never depend on the
+buckets, only the shape of the plan does.
 """
 
 from __future__ import annotations
@@ -15,22 +16,30 @@ from pyspark.sql import functions as F
 
 from offer_engine.config import TIME
 
-# A key is heavy from this many rows on, and only above this share of all rows.
+# A bucket is heavy from this many rows on, and only above this share of all rows. So at most
+# 1 / HEAVY_SHARE buckets are heavy; an even bucket has an eighth of that share.
 HEAVY_ROWS = 5_000_000
 HEAVY_SHARE = 1 / 2000
-# Keys above the share number at most 1 / share; the sketch tracks many times more.
-MAX_HEAVY = 2000
-TRACKED = 100_000
+HASH_BUCKETS = 16_384
+
+
+def _bucket(*key: str) -> Column:
+    return F.pmod(F.xxhash64(*key), F.lit(HASH_BUCKETS)).cast("int")
 
 
 @dataclass(frozen=True)
 class LogSkew:
+    """Hash buckets of heavy accounts and of heavy instants, and the rows that made them heavy."""
+
     accounts: tuple[int, ...] = ()
     instants: tuple[int, ...] = ()
     heavy_rows: int = HEAVY_ROWS
 
+    def heavy_account(self) -> Column:
+        return _bucket("account_id").isin(list(self.accounts))
+
     def heavy_instant(self) -> Column:
-        return F.xxhash64("account_id", TIME).isin(list(self.instants))
+        return _bucket("account_id", TIME).isin(list(self.instants))
 
 
 EVEN = LogSkew()
@@ -39,19 +48,20 @@ EVEN = LogSkew()
 def measure_skew(
     events: DataFrame, heavy_rows: int = HEAVY_ROWS, heavy_share: float = HEAVY_SHARE
 ) -> LogSkew:
-    """Heavy accounts and instants. Reads two columns, and none where the log is too short."""
-    total = events.count()
-    floor = max(heavy_rows, int(total * heavy_share))
-    if total < floor:
-        return LogSkew(heavy_rows=floor)
-    sketch = events.agg(
-        F.expr(f"approx_top_k(xxhash64(account_id), {MAX_HEAVY}, {TRACKED})").alias("accounts"),
-        F.expr(f"approx_top_k(xxhash64(account_id, {TIME}), {MAX_HEAVY}, {TRACKED})").alias(
-            "instants"
-        ),
-    ).first()
-    return LogSkew(
-        accounts=tuple(r["item"] for r in sketch["accounts"] if r["count"] >= floor),
-        instants=tuple(r["item"] for r in sketch["instants"] if r["count"] >= floor),
-        heavy_rows=floor,
-    )
+    """Heavy accounts, and heavy instants if there are any. Reads two columns at most."""
+    counts = _bucket_counts(events, "account_id")
+    floor = max(heavy_rows, int(sum(counts.values()) * heavy_share))
+    accounts = tuple(sorted(b for b, n in counts.items() if n >= floor))
+    skew = LogSkew(accounts, heavy_rows=floor)
+    if not accounts:
+        return skew
+    # An instant belongs to one account, so heavy ones can only be found here.
+    counts = _bucket_counts(events.filter(skew.heavy_account()), "account_id", TIME)
+    instants = tuple(sorted(b for b, n in counts.items() if n >= floor))
+    return LogSkew(accounts, instants, floor)
+
+
+def _bucket_counts(events: DataFrame, *key: str) -> dict[int, int]:
+    """Rows per bucket: HASH_BUCKETS numbers, whatever the size of the log."""
+    counted = events.groupBy(_bucket(*key).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    return {r["bucket"]: r["n"] for r in counted.collect()}
