@@ -94,7 +94,8 @@ def qini_curve(
     offsets = placed.offsets(sums).withColumn("_width", width)
     last = F.floor((F.col("_before") + F.col("_size")) / F.col("_width"))
     holding = offsets.filter(last > F.floor(F.col("_before") / F.col("_width")))
-    points = placed.ranked(holding, sums).filter(F.col("rank") % F.col("_width") == 0)
+    ranked = placed.ranked(holding, sums, some_buckets=True)
+    points = ranked.filter(F.col("rank") % F.col("_width") == 0)
 
     n_treat = _or_one(F.col("_total_n_treat_cum"))
     n_ctrl = _or_one(F.col("_total_n_ctrl_cum"))

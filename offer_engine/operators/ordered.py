@@ -65,19 +65,29 @@ class Buckets:
         offsets: DataFrame,
         sums: dict[str, Column] | None = None,
         rank: str = "rank",
+        some_buckets: bool = False,
     ) -> DataFrame:
-        """Rank and running sums of the rows whose bucket is in offsets."""
+        """Rank and running sums of the rows.
+
+        Offsets are joined after the rows are ordered, so that they are not shuffled with them.
+        With some_buckets, offsets list only the buckets wanted and are joined first, so that
+        the other rows are not shuffled at all.
+        """
         sums = sums or {}
         inside = Window.partitionBy("_bucket").orderBy(*self.order)
         running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        joined = self.rows.join(F.broadcast(offsets), "_bucket")
-        return joined.withColumns(
-            {rank: F.row_number().over(inside) + F.col("_before")}
-            | {
-                name: F.col(f"_before_{name}")
-                + F.coalesce(F.sum(value).over(running), F.lit(0))
-                for name, value in sums.items()
-            }
+        within = {rank: F.row_number().over(inside)} | {
+            name: F.coalesce(F.sum(value).over(running), F.lit(0))
+            for name, value in sums.items()
+        }
+        bounded = F.broadcast(offsets)
+        if some_buckets:
+            placed = self.rows.join(bounded, "_bucket").withColumns(within)
+        else:
+            placed = self.rows.withColumns(within).join(bounded, "_bucket")
+        return placed.withColumns(
+            {rank: F.col(rank) + F.col("_before")}
+            | {name: F.col(name) + F.col(f"_before_{name}") for name in sums}
         )
 
 
@@ -93,8 +103,8 @@ def into_buckets(
     steps = [i / buckets for i in range(1, buckets)]
     cuts = sorted({c for c in df.approxQuantile(score, steps, 0.5 / buckets) if isfinite(c)})
     cuts = cuts or [0.0]
-    # Position of a value: odd between cuts, even on a cut; nulls first, NaN last.
-    floors = F.array(F.lit(-inf), *[F.lit(c) for c in cuts])
+    # Lower ends of the intervals, as one constant.
+    floors = F.split(F.lit(",".join(["-Infinity", *map(repr, cuts)])), ",").cast("array<double>")
     rows = (
         Bucketizer(
             splits=[-inf, *cuts, inf], inputCol="_score", outputCol="_interval",
@@ -105,6 +115,7 @@ def into_buckets(
         .withColumn("_hash", hash32(row_id))
     )
     is_number = F.col("_score").isNotNull() & ~F.isnan("_score")
+    # Position of a value: odd between cuts, even on a cut; nulls first, NaN last.
     on_cut = F.col("_score") == F.get(floors, F.col("_interval"))
     position = (
         F.when(F.col("_score").isNull(), -1)
@@ -115,9 +126,9 @@ def into_buckets(
         position = -position
     tied = ~is_number | on_cut
     slice_ = F.when(tied, F.floor(F.col("_hash") * tie_slices / F.lit(2.0**32))).otherwise(0)
-    placed = rows.withColumn(
-        "_bucket", (position * tie_slices + slice_).cast("bigint")
-    ).drop("_interval")
+    bucket = (position * tie_slices + slice_).cast("bigint")
+    # Never null; saying so spares a null check that would compute the bucket twice.
+    placed = rows.withColumn("_bucket", F.coalesce(bucket, F.lit(0))).drop("_interval")
     by_score = F.col("_score").desc() if descending else F.col("_score").asc()
     return Buckets(placed, (by_score, F.col("_hash").asc(), F.col(row_id).asc()))
 
@@ -167,7 +178,7 @@ def value_at_ranks(
     )
     hits = F.filter("_wanted", lambda w: w["rank"] == F.col("rank"))
     return (
-        placed.ranked(holding)
+        placed.ranked(holding, some_buckets=True)
         .select(F.explode(hits).alias("_hit"), F.col("_score").alias(value))
         .select(F.col("_hit.label").alias(label), value)
     )

@@ -28,9 +28,12 @@ from offer_engine.sources.tables import (
 ROW_ORDER = ("offer_id", "has_web", "has_email", "has_mobile", "has_social")
 
 
-def ingest_offers(spark: SparkSession, path: str, names: C.TableNames) -> DataFrame:
-    raw = read_json(spark, path, schemas.OFFERS)
-    return save_table(ingest.explode_channels(raw), names.qualified("offers"))
+def ingest_offers(
+    spark: SparkSession, path: str, names: C.TableNames, channel_mode: str = "exploded"
+) -> DataFrame:
+    """The offers table: one row per channel ("exploded") or one per offer ("per_offer")."""
+    shape = {"exploded": ingest.explode_channels, "per_offer": ingest.per_offer}[channel_mode]
+    return save_table(shape(read_json(spark, path, schemas.OFFERS)), names.qualified("offers"))
 
 
 def ingest_profile(
@@ -159,6 +162,7 @@ def campaign(
     as_of: dt.date | None = None,
     params: C.ForestParams = C.ForestParams(),
     interaction_schema=schemas.INTERACTIONS,
+    channel_mode: str = "exploded",
 ) -> DataFrame:
     """Everything from the three JSON inputs to the uplift report.
 
@@ -167,7 +171,7 @@ def campaign(
     accounts the segment is recommended to, and the area under the uplift curve.
     """
     create_namespace(spark, names)
-    offers = ingest_offers(spark, offers_path, names)
+    offers = ingest_offers(spark, offers_path, names, channel_mode)
     profile = ingest_profile(spark, profile_path, names, as_of)
     events = ingest_transactions(spark, transactions_path, names, interaction_schema)
     table = save_table(consolidated(events, profile, offers), names.qualified("consolidated"))

@@ -1,4 +1,5 @@
 import json
+from types import SimpleNamespace
 
 import pytest
 
@@ -49,6 +50,14 @@ def test_shared_folder_follows_the_checkpoint_setting(spark):
     assert one.startswith(root) and one != two
 
 
+def test_no_local_folder_on_a_cluster():
+    cluster = SimpleNamespace(
+        conf={}, sparkContext=SimpleNamespace(master="spark://host:7077")
+    )
+    with pytest.raises(ValueError):
+        tables.shared_folder(cluster)
+
+
 def test_store_keeps_rows_and_cuts_the_plan(spark, tmp_path):
     df = spark.range(10).selectExpr("id", "id % 2 AS side")
     out = tables.store(df, str(tmp_path / "x"))
