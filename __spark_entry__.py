@@ -38,8 +38,7 @@ from offer_engine.sources.tables import (
 )
 from sql_checks import ORACLE
 
-# Forests of the registered queries; the library's defaults are 100 trees of depth 15.
-FOREST = C.ForestParams(num_trees=20, max_depth=8)
+FOREST = C.ForestParams()
 CUTS_500_750 = ((750, "High Spender"), (500, "Medium Spender"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from offer_engine import config as C
 from offer_engine.config import ROW_ID, TIME
 from offer_engine.functions import columns as X
-from offer_engine.operators.skew import LogSkew, measure_skew
+from offer_engine.operators.skew import LogSkew, measure_skew, place_by_account
 
 SLICES = 1024
 
@@ -27,10 +27,8 @@ def attribute_offers(
     (account, instant), and instants that are heavy themselves are cut into ordered slices.
     """
     skew = measure_skew(events) if skew is None else skew
-    if not skew.accounts and not skew.instants:
-        return _fill(events.repartition("account_id"), row_id)
     if not skew.instants:
-        return _fill(events, row_id)
+        return _fill(place_by_account(events, skew), row_id)
     heavy = skew.heavy_instant()
     return _fill(events.filter(~heavy), row_id).unionByName(
         _fill_sliced(events.filter(heavy), row_id, skew.heavy_rows, slices)

@@ -3,7 +3,7 @@
 Rows are placed in buckets that follow the global order. Bucket sizes are summed up in a small
 table, and each bucket is ordered on its own and shifted by what comes before it.
 
-The order is (score, hash of id, id). A bucket is a pure function of the row: quantiles of the
+The order is (score, hash of id, id), with one row per id. A bucket is a pure function of the row: quantiles of the
 score cut the range, and rows that share a cut value, which may be very many, are cut further
 by the hash. No bucket depends on how rows are spread over partitions, so a lost task can be
 run again at any time.

@@ -15,6 +15,7 @@ from offer_engine import config as C
 from offer_engine.config import TIME
 from offer_engine.functions import columns as X
 from offer_engine.operators.ordered import value_at_ranks
+from offer_engine.operators.skew import LogSkew, place_by_account
 
 
 def daily_activity(events: DataFrame) -> DataFrame:
@@ -95,17 +96,27 @@ def demographics(profile: DataFrame) -> DataFrame:
     )
 
 
-def funnel_by_type(offers: DataFrame, events: DataFrame) -> DataFrame:
-    """Distinct accounts that received, viewed and completed offers of each type, with rates."""
+def funnel_by_type(
+    offers: DataFrame, events: DataFrame, skew: LogSkew | None = None
+) -> DataFrame:
+    """Distinct accounts that received, viewed and completed offers of each type, with rates.
+
+    Distinct accounts are flags per account, which are then counted. An even log is shuffled
+    once for both levels of flags.
+    """
     types = offers.filter(F.col("offer_type").isNotNull()).select("offer_id", "offer_type")
     steps = {
         "received": C.EVENT_RECEIVED,
         "viewed": C.EVENT_VIEWED,
         "completed": C.EVENT_COMPLETED,
     }
+    steps_taken = events.filter(
+        F.col("account_id").isNotNull()
+        & F.col("offer_id").isNotNull()
+        & F.col("event").isin(list(steps.values()))
+    )
     reached = (
-        events.filter(F.col("account_id").isNotNull() & F.col("offer_id").isNotNull())
-        .filter(F.col("event").isin(list(steps.values())))
+        place_by_account(steps_taken, skew)
         .groupBy("account_id", "offer_id")
         .agg(*[F.max(X.is_event(e)).alias(step) for step, e in steps.items()])
     )

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.regression import RandomForestRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -171,9 +173,16 @@ def campaign(
     accounts the segment is recommended to, and the area under the uplift curve.
     """
     create_namespace(spark, names)
-    offers = ingest_offers(spark, offers_path, names, channel_mode)
-    profile = ingest_profile(spark, profile_path, names, as_of)
-    events = ingest_transactions(spark, transactions_path, names, interaction_schema)
+    # The three inputs do not depend on each other.
+    steps = (
+        lambda: ingest_offers(spark, offers_path, names, channel_mode),
+        lambda: ingest_profile(spark, profile_path, names, as_of),
+        lambda: ingest_transactions(spark, transactions_path, names, interaction_schema),
+    )
+    with ThreadPool(len(steps)) as pool:
+        offers, profile, events = pool.map(
+            lambda step: step(), map(inheritable_thread_target(spark), steps)
+        )
     table = save_table(consolidated(events, profile, offers), names.qualified("consolidated"))
     return uplift_report(table, names.qualified("splits"), params)
 
