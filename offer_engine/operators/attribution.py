@@ -10,7 +10,9 @@ from offer_engine.config import ROW_ID, TIME
 from offer_engine.functions import columns as X
 from offer_engine.operators.skew import LogSkew, measure_skew, place_by_account
 
+# Cuts of one event at one instant at most, and how many of them are compared at once.
 SLICES = 1024
+BLOCK = 32
 
 
 def attribute_offers(
@@ -58,14 +60,24 @@ def _fill_sliced(events: DataFrame, row_id: str, heavy_rows: int, slices: int) -
             F.percentile_approx(row_id, steps, 20 * slices).alias("_cuts"),
         )
         .filter(F.col("_rows") >= heavy_rows)
-        .drop("_rows")
+        .select(
+            "_group",
+            # About one cut per heavy_rows rows.
+            _every(F.col("_cuts"), F.floor(F.lit(slices) * heavy_rows / F.col("_rows"))).alias(
+                "_cuts"
+            ),
+        )
+        .withColumn("_ends", _every(F.col("_cuts"), F.lit(BLOCK)))
     )
-    position = F.size(F.filter("_cuts", lambda c: c < F.col(row_id)))
+    # The cuts below a row are counted in two steps: whole blocks, then inside the next block.
+    blocks = BLOCK * F.size(F.filter("_ends", lambda c: c < F.col(row_id)))
+    rest = F.slice("_cuts", blocks + 1, BLOCK)
+    position = blocks + F.size(F.filter(rest, lambda c: c < F.col(row_id)))
     sliced = (
         events.withColumn("_group", group)
         .join(F.broadcast(cuts), "_group", "left")
         .withColumn("_slice", F.when(F.col("_cuts").isNull(), 0).otherwise(position))
-        .drop("_group", "_cuts")
+        .drop("_group", "_cuts", "_ends")
     )
 
     slot = ["account_id", TIME, "event", "_slice"]
@@ -91,6 +103,11 @@ def _fill_sliced(events: DataFrame, row_id: str, heavy_rows: int, slices: int) -
     return filled.select(*events.columns)
 
 
+def _every(values: Column, step: Column) -> Column:
+    """The elements of an array at every step-th place."""
+    return F.filter(values, lambda _, i: (i + 1) % F.greatest(step, F.lit(1)) == 0)
+
+
 def _null_safe(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
     condition = F.lit(True)
     for name in names:

@@ -79,7 +79,9 @@ def test_measure_skew_finds_the_heavy_keys(spark):
     assert measure_skew(df.limit(0)).accounts == ()
 
 
-@pytest.mark.parametrize("heavy_rows,slices", [(300, 4), (100, 16), (20, 64), (10**6, 4)])
+@pytest.mark.parametrize(
+    "heavy_rows,slices", [(300, 4), (100, 16), (20, 64), (2, 100), (1, 1024), (10**6, 4)]
+)
 def test_sliced_instants_give_the_same_result(spark, heavy_rows, slices):
     rows = skewed_log()
     df = spark.createDataFrame(rows, SCHEMA).repartition(5)
