@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from fixtures import AS_OF, rows_of
 from offer_engine import config as C
 from offer_engine.operators import evaluation, forest, ingest, split
+from offer_engine.operators.uplift import recommend_offer
 from offer_engine.plans import campaign
 from offer_engine.sources import testdata
 from offer_engine.sources.models import ModelStore
@@ -37,6 +38,11 @@ def table(spark, tmp_path_factory):
     return store(rows, str(tmp_path_factory.mktemp("table") / "t"))
 
 
+@pytest.fixture(scope="module")
+def trained(splits):
+    return campaign.train(splits, SMALL)
+
+
 @pytest.fixture(scope="module")
 def splits(table, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("splits") / "s")
@@ -85,8 +91,8 @@ def test_train_and_save_segments(spark, splits, tmp_path):
         models_in.load("rf_model_bogo", 9)
 
 
-def test_metrics_of_segments_equal_metrics_of_one(splits):
-    models, metrics = campaign.train(splits, SMALL)
+def test_metrics_of_segments_equal_metrics_of_one(splits, trained):
+    models, metrics = trained
     got = {r.offer_type: r.mae for r in metrics.collect()}
     vectors = campaign.prepared(splits)
     for segment, model in models.items():
@@ -95,9 +101,8 @@ def test_metrics_of_segments_equal_metrics_of_one(splits):
         assert got.get(segment) == pytest.approx(alone)
 
 
-def test_every_account_is_scored_once_by_every_model(splits, table):
-    models, _ = campaign.train(splits, SMALL)
-    del models["discount"]
+def test_every_account_is_scored_once_by_every_model(trained, table):
+    models = {s: m for s, m in trained[0].items() if s != "discount"}
     scored = campaign.scored_accounts(models, table)
     accounts = [r.account_id for r in scored.collect()]
     assert sorted(accounts) == sorted({r.account_id for r in table.collect()})
@@ -115,11 +120,9 @@ def test_segment_without_training_rows_has_no_model(splits):
     assert "bogo" not in models and "discount" in models
 
 
-def test_uplift_is_never_negative(splits, table):
-    models, _ = campaign.train(splits, SMALL)
-    from offer_engine.operators.uplift import recommend_offer
-
-    rows = campaign.test_uplift(splits, recommend_offer(campaign.scored_accounts(models, table)))
+def test_uplift_is_never_negative(splits, trained, table):
+    scored = campaign.scored_accounts(trained[0], table)
+    rows = campaign.test_uplift(splits, recommend_offer(scored))
     assert rows.filter("uplift < 0").count() == 0
     assert rows.count() == splits.filter("split = 'test'").count()
     one = campaign.one_test_row(rows)

@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registry
+from offer_engine.config import ForestParams
 
 SF = "/root/testdata/sf0.001"
 QUERIES = registry.queries()
@@ -47,7 +48,8 @@ def test_entry(spark):
     assert registry.entry(spark).count() > 0
 
 
-def test_campaign_report(spark):
+def test_campaign_report(spark, monkeypatch):
+    monkeypatch.setattr(registry, "FOREST", ForestParams(num_trees=3, max_depth=3))
     rows = {r.offer_type: r for r in registry.campaign_report(spark, SF).collect()}
     assert rows and all(math.isfinite(r.auuc) and r.mae >= 0 for r in rows.values())
 
