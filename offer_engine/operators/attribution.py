@@ -11,8 +11,8 @@ from offer_engine.functions import columns as X
 from offer_engine.operators.skew import LogSkew, measure_skew, place_by_account
 
 # Cuts of one event at one instant at most, and how many of them are compared at once.
-SLICES = 1024
-BLOCK = 32
+SLICES = 4096
+BLOCK = 64
 
 
 def attribute_offers(
@@ -50,19 +50,19 @@ def _fill_sliced(events: DataFrame, row_id: str, heavy_rows: int, slices: int) -
     first row of a slice takes the last offer of the slice before it.
     """
     group = F.xxhash64("account_id", TIME, "event")
-    steps = [i / slices for i in range(1, slices)]
-    # Only groups of heavy_rows rows or more get cuts. measure_skew sets heavy_rows to at least
-    # HEAVY_SHARE of the log, so this table has at most 1 / HEAVY_SHARE rows.
+    steps = F.split(F.lit(",".join(str(i / slices) for i in range(1, slices))), ",")
+    # Only groups of heavy_rows rows or more get cuts, about one per heavy_rows rows.
+    # measure_skew sets heavy_rows to at least HEAVY_SHARE of the log, so this table has at most
+    # 1 / HEAVY_SHARE rows and about as many cuts.
     cuts = (
         events.groupBy(group.alias("_group"))
         .agg(
             F.count(F.lit(1)).alias("_rows"),
-            F.percentile_approx(row_id, steps, 20 * slices).alias("_cuts"),
+            F.percentile_approx(row_id, steps.cast("array<double>"), 4 * slices).alias("_cuts"),
         )
         .filter(F.col("_rows") >= heavy_rows)
         .select(
             "_group",
-            # About one cut per heavy_rows rows.
             _every(F.col("_cuts"), F.floor(F.lit(slices) * heavy_rows / F.col("_rows"))).alias(
                 "_cuts"
             ),

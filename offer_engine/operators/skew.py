@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 from offer_engine.config import TIME
 
 # A bucket is heavy from this many rows on, and only above this share of all rows. So at most
-# 1 / HEAVY_SHARE buckets are heavy; an even bucket has an eighth of that share.
+# 1 / HEAVY_SHARE buckets are heavy; an even bucket has less than a sixth of that share.
 HEAVY_ROWS = 5_000_000
-HEAVY_SHARE = 1 / 2000
-HASH_BUCKETS = 16_384
+HEAVY_SHARE = 1 / 20_000
+HASH_BUCKETS = 131_072
 
 
 def _bucket(*key: str) -> Column:
