@@ -49,16 +49,17 @@ def measure_skew(
     events: DataFrame, heavy_rows: int = HEAVY_ROWS, heavy_share: float = HEAVY_SHARE
 ) -> LogSkew:
     """Heavy accounts, and heavy instants if there are any. Reads two columns at most."""
-    counts = _bucket_counts(events, "account_id")
-    floor = max(heavy_rows, int(sum(counts.values()) * heavy_share))
+    counts = _large_buckets(events, heavy_rows, "account_id")
+    if not counts:
+        return LogSkew(heavy_rows=heavy_rows)
+    floor = max(heavy_rows, int(events.count() * heavy_share))
     accounts = tuple(sorted(b for b, n in counts.items() if n >= floor))
     skew = LogSkew(accounts, heavy_rows=floor)
     if not accounts:
         return skew
     # An instant belongs to one account, so heavy ones can only be found here.
-    counts = _bucket_counts(events.filter(skew.heavy_account()), "account_id", TIME)
-    instants = tuple(sorted(b for b, n in counts.items() if n >= floor))
-    return LogSkew(accounts, instants, floor)
+    instants = _large_buckets(events.filter(skew.heavy_account()), floor, "account_id", TIME)
+    return LogSkew(accounts, tuple(sorted(instants)), floor)
 
 
 def place_by_account(events: DataFrame, skew: LogSkew | None = None) -> DataFrame:
@@ -70,7 +71,7 @@ def place_by_account(events: DataFrame, skew: LogSkew | None = None) -> DataFram
     return events if skew.accounts else events.repartition("account_id")
 
 
-def _bucket_counts(events: DataFrame, *key: str) -> dict[int, int]:
-    """Rows per bucket: HASH_BUCKETS numbers, whatever the size of the log."""
+def _large_buckets(events: DataFrame, rows: int, *key: str) -> dict[int, int]:
+    """Buckets with at least so many rows: HASH_BUCKETS numbers at most."""
     counted = events.groupBy(_bucket(*key).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
-    return {r["bucket"]: r["n"] for r in counted.collect()}
+    return {r["bucket"]: r["n"] for r in counted.filter(F.col("n") >= rows).collect()}
