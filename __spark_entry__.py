@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 import sys
 from collections.abc import Callable
 from pathlib import Path
@@ -38,6 +39,13 @@ from offer_engine.sources.tables import (
 )
 from sql_checks import ORACLE
 
+# The training-data operators are a part that can be taken out.
+if importlib.util.find_spec("offer_engine.llm"):
+    from offer_engine.llm.queries import ORACLE as LLM_ORACLE
+    from offer_engine.llm.queries import QUERIES as LLM_QUERIES
+else:
+    LLM_QUERIES, LLM_ORACLE = {}, {}
+
 FOREST = C.ForestParams()
 CUTS_500_750 = ((750, "High Spender"), (500, "Medium Spender"))
 
@@ -443,8 +451,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "model_runs": model_runs,
         "tlearner_score": tlearner_score,
         "campaign_report": campaign_report,
+        **LLM_QUERIES,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    return {**ORACLE, **LLM_ORACLE}
