@@ -2,18 +2,38 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 from collections.abc import Sequence
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from offer_engine.sources.tables import shared_folder, store
 
-#: Rows of a bucket that is ordered in one task.
-BUCKET_ROWS = 20_000
+#: Rows of a bucket that is ordered in one task: a few hundred, up to BUCKETS buckets; with more
+#: rows than BUCKETS * BUCKET_ROWS, that many.
+BUCKETS = 1024
+BUCKET_ROWS = 1_000_000
 #: Rows of a table up to which it is broadcast after it has been counted.
 BROADCAST_ROWS = 50_000
 
+#: A group with more than rows / HEAVY_GROUPS members is heavy.
+HEAVY_GROUPS = 1000
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Hand this package's code to the Python workers of all executors, once an application."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        name = f"{tempfile.mkdtemp()}/{package.name}"
+        context.addPyFile(shutil.make_archive(name, "zip", package.parent, package.name))
+        _shipped.add(context.applicationId)
+
 
 def stored(df: DataFrame) -> DataFrame:
     """df written to a new shared folder and read back."""
@@ -38,7 +58,7 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def bucket_count(rows: int) -> int:
-    return max(4, rows // BUCKET_ROWS)
+    return max(4, min(rows // 200, BUCKETS), rows // BUCKET_ROWS)
 
 
 def hash_bucket(buckets: int, *columns: Column | str) -> Column:
@@ -72,3 +92,19 @@ def running(
     joined = df.join(offsets, [*keys, bucket])
     before = F.col("_offset") + F.coalesce(F.sum(value).over(inside), F.lit(0))
     return joined.withColumn(out, before).drop("_offset")
+
+
+def joined_groups(
+    rows: DataFrame, groups: DataFrame, key: str, size: str, total: int, how: str = "inner"
+) -> DataFrame:
+    """rows joined with the stored table of their groups, whose sizes are in a column.
+
+    Groups of more than total / HEAVY_GROUPS rows, of which there can't be HEAVY_GROUPS, come by
+    broadcast, so a group of any size stays where its rows are.
+    """
+    is_heavy = F.col(size) > total // HEAVY_GROUPS
+    heavy = groups.filter(is_heavy)
+    light = groups.filter(~is_heavy)
+    near = rows.join(F.broadcast(heavy), key)
+    rest = rows.join(F.broadcast(heavy.select(key)), key, "left_anti")
+    return near.unionByName(rest.join(light, key, how))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offer_engine.llm.common import packed, stored, unpacked
+from offer_engine.llm.common import packed, ship, stored, unpacked
 
 #: Counters a task keeps. The counts are too small by rows / (COUNTERS + 1) at most.
 COUNTERS = 1000
@@ -65,6 +65,7 @@ def frequent(digests: DataFrame, rows: int) -> DataFrame:
 def exact_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", columns=None):
     """The named columns of docs (all by default) for every row, with keep_id, group_size, kept
     and text_sha256. A column of docs of one of these names is replaced."""
+    ship(docs.sparkSession)
     names = docs.columns if columns is None else list(columns)
     rows = stored(
         docs.select(

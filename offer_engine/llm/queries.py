@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from offer_engine.llm import exact_dedup, mixing, sharding
+from offer_engine.llm import exact_dedup, language, mixing, near_duplicates, neighbours, packing, pseudonyms, sharding, toxicity
+
+#: Stands in for a secret that a real job would be handed.
+KEY = "key of the registered query"
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -15,6 +20,34 @@ def op1_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(documents(spark, sf), columns=["doc_id"])
 
 
+def op3_packing(spark: SparkSession, sf: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return packing.with_checksum(packing.pack(documents(spark, sf), vocabulary))
+
+
+def op4_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    found = near_duplicates.near_classes(documents(spark, sf))
+    return found.select(F.col("key").alias("doc_id"), "class_id", "links")
+
+
+def op5_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    return toxicity.score(documents(spark, sf), labels, columns=["doc_id"])
+
+
+def op6_pseudonyms(spark: SparkSession, sf: str) -> DataFrame:
+    return pseudonyms.pseudonymised(documents(spark, sf), KEY, columns=["doc_id"])
+
+
+def op7_language(spark: SparkSession, sf: str) -> DataFrame:
+    return language.identify(documents(spark, sf), columns=["doc_id"])
+
+
+def op8_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    embeddings = spark.read.parquet(f"{sf}/embeddings.parquet")
+    return neighbours.search(embeddings, F.col("vec_id") % 100 == 0)
+
+
 def op9_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf), columns=["doc_id"])
 
@@ -25,6 +58,12 @@ def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op3_packing": op3_packing,
+    "op4_near_duplicates": op4_near_duplicates,
+    "op5_toxicity": op5_toxicity,
+    "op6_pseudonyms": op6_pseudonyms,
+    "op7_language": op7_language,
+    "op8_neighbours": op8_neighbours,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_sharding": op10_sharding,
 }
