@@ -1,7 +1,7 @@
 """Toxicity by weak supervision.
 
-Voters look at a text, each for one thing: a word of one of the seed lexicons, words of lexicons
-learned from labelled texts, or a pattern such as an insult after "you". A generative label model
+Voters look at a text, each for one thing: a word of one of the seed lexicons, words and stems of
+lexicons learned from labelled texts, or a pattern such as an insult after "you". A generative label model
 explains which voters fire together: a class balance, for each class how often each voter fires,
 and how pairs of voters that are not independent within a class go together. It is fitted by
 expectation maximisation on the counts of firing patterns over all texts outside the held-out
@@ -18,12 +18,14 @@ get equal results. An empty table gives an empty one.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
-from itertools import combinations
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,11 +40,15 @@ ADDRESS = ("tu", "usted", "vous", "you", "your", "youre", "du", "ihr", "sie")
 
 #: Bound of the labelled texts that lexicons and the classifier are learned from.
 SAMPLE = 8000
-#: Words the classifier knows, and texts of the sample that must hold a word.
-WORDS = 20_000
+#: Words and stems the classifier knows, and texts of the sample that must hold one.
+WORDS = 5000
 LEAST_TEXTS = 8
-#: From which share of toxic texts a learned word is a strong or a weak sign, and the least count.
-STRONG, WEAK, LEAST_TOXIC = 0.8, 0.5, 4
+#: Lengths of stems, which are beginnings of words.
+STEMS = range(3, 9)
+#: From which share of toxic texts a word or stem is a strong or a weak sign, and the least count.
+STRONG, WEAK, LEAST_TOXIC = 0.8, 0.5, 6
+#: Minhashes of a text's words that near copies share, so that only one of them is learned from.
+COPY_HASHES = 6
 #: Correlation within a class from which a pair of voters is modelled.
 CORRELATED = 0.05
 CACHE = 500_000
@@ -54,72 +60,104 @@ VOTERS = (
     "scorn",
     "threat",
     "two lexicon words",
-    "lexicon word among the first",
     "lexicon word at the end of a sentence",
     "address before a lexicon word",
     "strong word",
-    "two strong words",
-    "weak word",
-    "three weak words",
+    "strong stem",
+    "two words with strong signs",
+    "weak sign",
     "shouting",
 )
 shouted = re.compile(r"\b[A-ZÀ-Þ]{3,}\b[^a-z]{0,3}\b[A-ZÀ-Þ]{3,}\b.{0,80}!")
 
 
+def stems(word: str) -> list[str]:
+    """Beginnings of a word, marked so that they are not taken for words."""
+    return [f"^{word[:n]}" for n in STEMS if n <= len(word)]
+
+
+def parts(words: Sequence[str]) -> set[str]:
+    """Words and stems of a text, and stems that two or more of its words share."""
+    count = Counter(s for w in words for s in stems(w))
+    return {*words, *count, *(f"2{s}" for s, n in count.items() if n > 1)}
+
+
 @dataclass
 class Signs:
-    """What a word stands for: bits of lexicons, and its number in the classifier."""
+    """What a word stands for: bits of lexicons, and the numbers of what the classifier knows."""
 
     strong: frozenset[str] = frozenset()
     weak: frozenset[str] = frozenset()
     number: dict[str, int] = field(default_factory=dict)
-    seen: dict[str, tuple[int, int]] = field(default_factory=dict)
+    seen: dict[str, tuple[int, str, tuple[int, ...]]] = field(default_factory=dict)
+
+    def __post_init__(self):
+        #: Of a stem's number: the number of the stem shared by two words, and its bits.
+        self.twice = {
+            self.number.get(x[1:], -1): (n, (x in self.strong) << 5 | (x in self.weak) << 6)
+            for x, n in self.number.items()
+            if x.startswith("2^")
+        }
 
     def __getstate__(self):
         return self.__dict__ | {"seen": {}}
 
-    def of(self, chunk: str) -> tuple[int, int]:
+    def of(self, chunk: str) -> tuple[int, str, tuple[int, ...]]:
         word = letters(chunk)
+        own = stems(word)
         bits = (
             (word in INSULTS)
             | (word in SCORN) << 1
             | (word in THREATS) << 2
             | (word in ADDRESS) << 3
             | (word in self.strong) << 4
-            | (word in self.weak) << 5
+            | (not self.strong.isdisjoint(own)) << 5
+            | (word in self.weak or not self.weak.isdisjoint(own)) << 6
         )
-        return bits, self.number.get(word, -1)
+        return bits, word, tuple(self.number[x] for x in (word, *own) if x in self.number)
 
     def read(self, text: str) -> tuple[int, list[int]]:
-        """The pattern of the voters that fire, and the distinct known words."""
+        """The pattern of the voters that fire, and the distinct known words and stems."""
         chunks = text.split()
         seen = self.seen
         if len(seen) > CACHE:
             seen.clear()
-        for c in set(chunks).difference(seen):
+        distinct = set(chunks)
+        for c in distinct.difference(seen):
             seen[c] = self.of(c)
-        found = [seen[c] for c in chunks]
-        at = [i for i, f in enumerate(found) if f[0]]
-        lexicon = [i for i in at if found[i][0] & 3]
-        address = {i for i in at if found[i][0] & 8}
-        strong = {letters(chunks[i]) for i in at if found[i][0] & 16}
-        weak = {letters(chunks[i]) for i in at if found[i][0] & 32}
+        marked = {c for c in distinct if seen[c][0]}
+        bits = 0
+        for c in marked:
+            bits |= seen[c][0]
+        known = Counter(chain.from_iterable({f[1]: f[2] for f in map(seen.get, distinct) if f[2]}.values()))
+        twice = [self.twice[n] for n, count in known.items() if count > 1 and n in self.twice]
+        for _, more in twice:
+            bits |= more
+        lexicon, address, ends = [], set(), False
+        if bits & 3:
+            for i, c in enumerate(chunks):
+                if c in marked:
+                    if seen[c][0] & 3:
+                        lexicon.append(i)
+                        ends |= c[-1] in ".!?"
+                    if seen[c][0] & 8:
+                        address.add(i)
+        strong = {seen[c][1] for c in marked if seen[c][0] & 48}
         fired = (
-            any(found[i][0] & 1 for i in at),
-            any(found[i][0] & 2 for i in at),
-            any(found[i][0] & 4 for i in at),
+            bits & 1,
+            bits & 2,
+            bits & 4,
             len(lexicon) > 1,
-            bool(lexicon) and lexicon[0] < 20,
-            any(chunks[i][-1] in ".!?" for i in lexicon),
-            any(address.intersection(range(i - 3, i)) for i in lexicon),
-            bool(strong),
+            ends,
+            any(not address.isdisjoint(range(i - 3, i)) for i in lexicon),
+            bits & 16,
+            bits & 32,
             len(strong) > 1,
-            bool(weak),
-            len(weak) > 2,
-            bool(shouted.search(text)),
+            bits & 64,
+            shouted.search(text),
         )
-        words = sorted({f[1] for f in found if f[1] >= 0})
-        return sum(f << i for i, f in enumerate(fired)), words
+        numbers = sorted([*known, *(n for n, _ in twice)])
+        return sum(bool(f) << i for i, f in enumerate(fired)), numbers
 
 
 def fired_table(voters: int) -> np.ndarray:
@@ -235,27 +273,61 @@ def train(patterns: np.ndarray, words: list[list[int]], soft: np.ndarray, voters
     return Classifier(float(x[0]), x[1 : voters + 1], x[voters + 1 :])
 
 
-def learned(sample: DataFrame) -> Signs:
-    """Lexicons and known words from the sample (text, toxic)."""
+def copy_sign(words: list[str]) -> int:
+    """A hash that near copies share for the most part."""
+    if not words:
+        return 0
+    hashes = np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
+    odd = np.random.default_rng(11).integers(1 << 62, 1 << 63, COPY_HASHES, dtype=np.uint64)
+    least = (hashes[:, None] * (odd | np.uint64(1))).min(0)
+    return xxhash.xxh64_intdigest(least.tobytes()) >> 1
 
-    def distinct(batches: Iterator[pa.RecordBatch]):
+
+def without_near_copies(sample: DataFrame) -> DataFrame:
+    """toxic, text and the distinct words of the sample (text, toxic), one row of near copies."""
+
+    def work(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             words = [sorted(set(map(letters, t.split())) - {""}) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(1), pa.array(words, pa.list_(pa.string()))], ["toxic", "words"]
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array([[w[:60] for w in ws] for ws in words], pa.list_(pa.string())),
+                    pa.array([copy_sign(ws) for ws in words], pa.int64()),
+                ],
+                ["text", "toxic", "words", "sign"],
+            )
+
+    kind = "text string, toxic int, words array<string>, sign long"
+    marked = sample.mapInArrow(work, kind)
+    one = marked.groupBy("sign").agg(F.max(F.struct("toxic", "text", "words")).alias("one"))
+    return stored(one.select("one.*"))
+
+
+def learned(sample: DataFrame) -> Signs:
+    """Lexicons and known words and stems from the sample (toxic, words)."""
+
+    def work(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            found = [sorted(parts(ws)) for ws in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(found, pa.list_(pa.string()))], ["toxic", "parts"]
             )
 
-    words = sample.mapInArrow(distinct, "toxic int, words array<string>")
-    words = words.select("toxic", F.explode("words").alias("word")).filter("length(word) < 100")
-    counts = words.groupBy("word").agg(
+    each = sample.mapInArrow(work, "toxic int, parts array<string>")
+    totals = sample.agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic")).first()
+    share = (totals["toxic"] or 0) / max(1, totals["n"])
+    counts = each.select("toxic", F.explode("parts").alias("part")).groupBy("part").agg(
         F.count(F.lit(1)).alias("texts"), F.sum("toxic").alias("toxic")
     )
-    counts = counts.filter(F.col("texts") >= LEAST_TEXTS).orderBy(F.desc("texts"), "word")
+    telling = F.abs(F.col("toxic") - share * F.col("texts")) / F.sqrt("texts")
+    counts = counts.filter(F.col("texts") >= LEAST_TEXTS).orderBy(telling.desc(), "part")
     rows = counts.limit(WORDS).collect()
-    strong = [r["word"] for r in rows if r["toxic"] >= LEAST_TOXIC and r["toxic"] >= STRONG * r["texts"]]
-    weak = [r["word"] for r in rows if r["toxic"] >= LEAST_TOXIC and r["toxic"] >= WEAK * r["texts"]]
-    number = {w: i for i, w in enumerate(sorted(r["word"] for r in rows))}
-    return Signs(frozenset(strong), frozenset(weak), number)
+    often = [r for r in rows if r["toxic"] >= LEAST_TOXIC]
+    strong = frozenset(r["part"] for r in often if r["toxic"] >= STRONG * r["texts"])
+    weak = frozenset(r["part"] for r in often if r["toxic"] >= WEAK * r["texts"])
+    return Signs(strong, weak, {w: i for i, w in enumerate(sorted(r["part"] for r in rows))})
 
 
 def read_all(rows: DataFrame, signs: Signs, kind: str) -> DataFrame:
@@ -291,12 +363,10 @@ def fit(docs: DataFrame, labels: DataFrame, text: str, key: str, toxic: str, fol
     unit = (F.xxhash64("key") / F.lit(2.0**64)) + 0.5
     picked = truth.filter(unit < share)
     sample = stored(
-        rows.filter(unit < share)
-        .join(picked, "key")
-        .select("key", "text", "toxic")
-        .limit(SAMPLE)
+        rows.filter(unit < share).join(picked, "key").select("text", "toxic").limit(SAMPLE)
     )
-    signs = learned(sample.select("text", "toxic"))
+    sample = without_near_copies(sample)
+    signs = learned(sample.select("toxic", "words"))
     voters = len(VOTERS)
     patterns = read_all(rows.select("key", "text"), signs, rows.schema["key"].dataType.simpleString())
     patterns = patterns.select(F.col("c").alias("key"), "pattern").join(truth, "key", "left")
