@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offer_engine.llm import exact_dedup, language, mixing, near_duplicates, neighbours, packing, pseudonyms, sharding, toxicity
+from offer_engine.llm import chat, exact_dedup, language, mixing, near_duplicates, neighbours, packing, pseudonyms, sharding, toxicity
 
 #: Stands in for a secret that a real job would be handed.
 KEY = "key of the registered query"
@@ -20,6 +20,11 @@ def op1_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(documents(spark, sf), columns=["doc_id"])
 
 
+def op2_chat(spark: SparkSession, sf: str) -> DataFrame:
+    conversations = spark.read.parquet(f"{sf}/conversations.parquet")
+    return chat.linked_calls(chat.from_turns(conversations), chat.TURN_SCHEMAS)
+
+
 def op3_packing(spark: SparkSession, sf: str) -> DataFrame:
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
     return packing.with_checksum(packing.pack(documents(spark, sf), vocabulary))
@@ -58,6 +63,7 @@ def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_chat": op2_chat,
     "op3_packing": op3_packing,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_toxicity": op5_toxicity,
