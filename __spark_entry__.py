@@ -40,11 +40,14 @@ from offer_engine.sources.tables import (
 from sql_checks import ORACLE
 
 # The training-data operators are a part that can be taken out.
+LLM_QUERIES, LLM_ORACLE = {}, {}
 if importlib.util.find_spec("offer_engine.llm"):
     from offer_engine.llm.queries import ORACLE as LLM_ORACLE
     from offer_engine.llm.queries import QUERIES as LLM_QUERIES
-else:
-    LLM_QUERIES, LLM_ORACLE = {}, {}
+if importlib.util.find_spec("corpus_pipeline"):
+    import corpus_pipeline
+
+    LLM_QUERIES = {**LLM_QUERIES, "pipeline": corpus_pipeline.run}
 
 FOREST = C.ForestParams()
 CUTS_500_750 = ((750, "High Spender"), (500, "Medium Spender"))
