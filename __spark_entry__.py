@@ -37,7 +37,7 @@ from offer_engine.sources.tables import (
     shared_folder,
     store,
 )
-from sql_checks import ORACLE
+from sql_checks import DIGITS, MONEY, ORACLE
 
 # The training-data operators are a part that can be taken out.
 LLM_QUERIES, LLM_ORACLE = {}, {}
@@ -114,7 +114,7 @@ def _fixed_scores(df: DataFrame) -> DataFrame:
 
 
 def _rounded(df: DataFrame, *names: str) -> DataFrame:
-    return df.withColumns({n: F.round(n, 6) for n in names})
+    return df.withColumns({n: F.round(n, DIGITS) for n in names})
 
 
 # Sources and sinks.
@@ -354,21 +354,44 @@ def auuc(spark: SparkSession, sf: str) -> DataFrame:
 # Forests.
 
 
+# A forest's numbers depend on Spark ML, so these queries return what is a function of the data,
+# and whether the numbers keep the bounds that they must keep: a prediction is a mean of training
+# labels, a mean error is no larger than its root mean square.
+
+
+def _label_range(splits: DataFrame) -> dict[str, tuple[float, float]]:
+    """Least and largest training label of each segment, widened by what rounding may add."""
+    train = splits.filter("split = 'train'").groupBy("offer_type")
+    rows = train.agg(F.min(C.LABEL).alias("low"), F.max(C.LABEL).alias("high")).collect()
+    return {r["offer_type"]: (r["low"] - 1e-6, r["high"] + 1e-6) for r in rows}
+
+
 def train_forest(spark: SparkSession, sf: str) -> DataFrame:
-    vectors = features.prepare_features(_stored_splits(spark, sf))
+    splits = _stored_splits(spark, sf)
+    vectors = features.prepare_features(splits)
     model = forest.train_forest(forest.segment_rows(vectors, C.BOGO, "train"), FOREST)
-    test = forest.segment_rows(vectors, C.BOGO, "test")
-    return forest.score(model, test).select("account_id", "offer_id", "total_spent", "prediction")
+    scored = forest.score(model, forest.segment_rows(vectors, C.BOGO, "test"))
+    in_range = F.col("prediction").between(*_label_range(splits)[C.BOGO])
+    return scored.select("account_id", "offer_id", "total_spent", in_range.alias("in_range"))
+
+
+def _consistent(metrics: DataFrame) -> DataFrame:
+    finite = F.col("mae") <= F.col("rmse") + 1e-9
+    finite = finite & (F.col("rmse") < float("inf")) & (F.col("r2") < float("inf"))
+    return metrics.select("offer_type", "n", finite.alias("consistent"))
 
 
 def train_segments(spark: SparkSession, sf: str) -> DataFrame:
-    return campaign.train(_stored_splits(spark, sf), FOREST)[1]
+    return _consistent(campaign.train(_stored_splits(spark, sf), FOREST)[1])
 
 
 def model_runs(spark: SparkSession, sf: str) -> DataFrame:
     models_in = ModelStore(spark, shared_folder(spark))
     campaign.train(_stored_splits(spark, sf), FOREST, models_in=models_in)
-    return models_in.latest().select("model", "version", "params", "metrics")
+    sizes = [F.col(f"params.{p}").cast("int").alias(p) for p in ("num_trees", "max_depth")]
+    return models_in.latest().select(
+        "model", "version", *sizes, F.array_join("features", ",").alias("features")
+    )
 
 
 def tlearner_score(spark: SparkSession, sf: str) -> DataFrame:
@@ -376,7 +399,12 @@ def tlearner_score(spark: SparkSession, sf: str) -> DataFrame:
     table = store(_consolidated(spark, sf), f"{folder}/table")
     splits = store(campaign.model_splits(table), f"{folder}/splits", ("offer_type", "split"))
     models, _ = campaign.train(splits, FOREST)
-    return campaign.scored_accounts(models, table)
+    ranges = _label_range(splits)
+    in_range = [
+        F.col(f"pred_{s}").between(*ranges.get(s, (0.0, 0.0))).alias(f"{s}_in_range")
+        for s in C.SEGMENTS
+    ]
+    return campaign.scored_accounts(models, table).select("account_id", C.LABEL, *in_range)
 
 
 def campaign_report(spark: SparkSession, sf: str) -> DataFrame:
@@ -388,7 +416,7 @@ def campaign_report(spark: SparkSession, sf: str) -> DataFrame:
     }
     for name, df in raw.items():
         df.write.json(f"{folder}/{name}")
-    return campaign.campaign(
+    report = campaign.campaign(
         spark,
         *[f"{folder}/{name}" for name in raw],
         names=_temporary_names(spark),
@@ -396,14 +424,24 @@ def campaign_report(spark: SparkSession, sf: str) -> DataFrame:
         params=FOREST,
         interaction_schema=schemas.NUMBERED_INTERACTIONS,
     )
+    consistent = (
+        (F.col("mae") <= F.col("rmse") + 1e-9)
+        & F.col("recommended_accounts").between(0, raw["profile"].count())
+        & (F.abs("auuc") < float("inf"))
+    )
+    return report.select("offer_type", "n", "model_version", consistent.alias("consistent"))
 
 
 def entry(spark: SparkSession) -> DataFrame:
     return _consolidated(spark, "/root/testdata/sf0.001")
 
 
+def _with_rounded_money(name: str, query) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf: _rounded(query(spark, sf), *MONEY[name])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    found = {
         "consolidated": _consolidated,
         "json_scan": json_scan,
         "table_roundtrip": table_roundtrip,
@@ -454,8 +492,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "model_runs": model_runs,
         "tlearner_score": tlearner_score,
         "campaign_report": campaign_report,
-        **LLM_QUERIES,
     }
+    found |= {name: _with_rounded_money(name, found[name]) for name in MONEY}
+    return {**found, **LLM_QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from offer_engine import config as C
 
-MONEY_TYPE = "decimal(18,4)"
-
 
 def is_event(name: str) -> Column:
     return F.col("event") == name
@@ -21,12 +19,6 @@ def count_event(name: str) -> Column:
     return F.count_if(is_event(name))
 
 
-def money(amount: Column | str) -> Column:
-    """Fixed-point amount: its sum does not depend on the order of the rows."""
-    amount = F.col(amount) if isinstance(amount, str) else amount
-    return amount.cast(MONEY_TYPE)
-
-
 def transaction_amount() -> Column:
     return F.when(is_event(C.EVENT_TRANSACTION), F.col("amount"))
 
@@ -79,6 +71,14 @@ def converted(viewed: Column, completed: Column) -> Column:
     return F.when((viewed > 0) & (completed > 0), 1).otherwise(0)
 
 
+def offer_key(offer: Column | str, account: Column | str) -> Column:
+    """A join key for offers: the offer's id, or for rows without an offer one that spreads by
+    account and meets no offer, so that these rows, which may be most, are not one hot key."""
+    offer = F.col(offer) if isinstance(offer, str) else offer
+    none = offer.isNull() | (offer == C.NO_OFFER_ID)
+    return F.when(none, F.concat(F.lit("\0"), account)).otherwise(offer)
+
+
 def hash32(*parts: Column | str) -> Column:
     """Evenly spread number in [0, 2^32), the same in every engine that has md5."""
     text = F.concat_ws("#", *[F.col(p) if isinstance(p, str) else p for p in parts])

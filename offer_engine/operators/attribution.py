@@ -143,7 +143,7 @@ def user_spend_stats(events: DataFrame) -> DataFrame:
         .groupBy("account_id")
         .agg(
             F.count("amount").alias("total_transactions"),
-            F.sum(X.money("amount")).cast("double").alias("total_spent"),
+            F.sum("amount").alias("total_spent"),
             F.max("amount").alias("max_spent"),
         )
         .select(

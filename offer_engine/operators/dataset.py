@@ -49,13 +49,12 @@ def account_offer_rollup(events: DataFrame, week_length: float = C.WEEK_LENGTH)
         X.count_event(C.EVENT_COMPLETED).alias("completed"),
         X.count_event(C.EVENT_TRANSACTION).alias("transactions"),
         F.count(amount).alias("paid_count"),
-        F.sum(X.money(amount)).alias("paid_sum"),
+        F.sum(amount).alias("paid_sum"),
         F.var_pop(amount).alias("paid_variance"),
         F.max(amount).alias("paid_max"),
         F.min(amount).alias("paid_min"),
-        F.sum(X.money("amount")).alias("amount_sum"),
         F.count(reward).alias("reward_count"),
-        F.sum(X.money(reward)).alias("reward_sum"),
+        F.sum(reward).alias("reward_sum"),
         F.max(paid_at).alias("paid_last"),
         F.min(paid_at).alias("paid_first"),
         F.max(TIME).alias("seen_last"),
@@ -80,12 +79,13 @@ def consolidate(rollup: DataFrame, profile: DataFrame, offers: DataFrame) -> Dat
         F.col("completed").alias("cnt_completed"),
         X.converted(F.col("viewed"), F.col("completed")).alias("is_converted_valid"),
         F.sum("paid_count").over(account).alias("total_transactions"),
-        F.coalesce(F.sum("paid_sum").over(account).cast("double"), F.lit(0.0)).alias("total_spent"),
+        F.coalesce(F.sum("paid_sum").over(account), F.lit(0.0)).alias("total_spent"),
         F.coalesce(F.max("paid_max").over(account), F.lit(0.0)).alias("max_spent"),
     )
     return (
         counts.join(profile, "account_id")
-        .join(offers, "offer_id", "left")
+        .withColumn("_offer", X.offer_key("offer_id", "account_id"))
+        .join(offers.withColumnRenamed("offer_id", "_offer"), "_offer", "left")
         .select(
             "account_id",
             "offer_id",
@@ -110,7 +110,8 @@ def enriched_events(events: DataFrame, profile: DataFrame, offers: DataFrame) ->
     """
     return (
         events.join(profile, "account_id")
-        .join(offers, "offer_id", "left")
+        .withColumn("_offer", X.offer_key("offer_id", "account_id"))
+        .join(offers.withColumnRenamed("offer_id", "_offer"), "_offer", "left")
         .select(
             *events.columns,
             *[c for c in profile.columns if c != "account_id"],

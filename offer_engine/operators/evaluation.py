@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from offer_engine import config as C
-from offer_engine.functions.columns import money
 from offer_engine.operators.ordered import into_buckets, running_sums
 
 
@@ -42,10 +41,10 @@ def segment_metrics(
 
 def _arms(y: str, t: str) -> dict[str, Column]:
     """Outcome and size of the treated and the control arm."""
-    outcome, treated = money(y), F.col(t)
+    outcome, treated = F.col(y).cast("double"), F.col(t)
     return {
-        "y_treat_cum": F.when(treated == 1, outcome).otherwise(0),
-        "y_ctrl_cum": F.when(treated == 0, outcome).otherwise(0),
+        "y_treat_cum": F.when(treated == 1, outcome).otherwise(0.0),
+        "y_ctrl_cum": F.when(treated == 0, outcome).otherwise(0.0),
         "n_treat_cum": treated,
         "n_ctrl_cum": 1 - treated,
     }
@@ -59,8 +58,8 @@ def qini_totals(df: DataFrame, y: str, t: str) -> DataFrame:
         *[F.sum(value).alias(f"_{name}") for name, value in arms.items()],
     ).select(
         "n",
-        F.coalesce(F.col("_y_treat_cum").cast("double"), F.lit(0.0)).alias("y_treat_total"),
-        F.coalesce(F.col("_y_ctrl_cum").cast("double"), F.lit(0.0)).alias("y_ctrl_total"),
+        F.coalesce(F.col("_y_treat_cum"), F.lit(0.0)).alias("y_treat_total"),
+        F.coalesce(F.col("_y_ctrl_cum"), F.lit(0.0)).alias("y_ctrl_total"),
         _or_one(F.col("_n_treat_cum")).alias("n_treat_total"),
         _or_one(F.col("_n_ctrl_cum")).alias("n_ctrl_total"),
     )

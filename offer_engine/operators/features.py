@@ -18,7 +18,7 @@ ENGAGEMENT = ("email", "mobile", "social", "web")
 
 def transaction_features(events: DataFrame) -> DataFrame:
     amount = X.transaction_amount()
-    total = F.coalesce(F.sum(X.money(amount)).cast("double"), F.lit(0.0))
+    total = F.coalesce(F.sum(amount), F.lit(0.0))
     return events.groupBy("account_id").agg(
         X.count_event(C.EVENT_TRANSACTION).alias("transaction_frequency"),
         total.alias("total_spend"),
@@ -54,7 +54,7 @@ def offer_features(events: DataFrame) -> DataFrame:
 
 def reward_features(events: DataFrame) -> DataFrame:
     reward = X.completion_reward()
-    total = F.coalesce(F.sum(X.money(reward)).cast("double"), F.lit(0.0))
+    total = F.coalesce(F.sum(reward), F.lit(0.0))
     return events.groupBy("account_id").agg(
         total.alias("total_rewards_earned"),
         X.ratio(total, F.count(reward)).alias("avg_reward_per_completion"),
@@ -151,9 +151,9 @@ def customer_features(rollup: DataFrame, profile: DataFrame, offers: DataFrame)
     deviation is merged from the group variances around the account's mean.
     """
     account = Window.partitionBy("account_id")
-    group_mean = X.ratio(F.col("paid_sum").cast("double"), F.col("paid_count"))
+    group_mean = X.ratio(F.col("paid_sum"), F.col("paid_count"))
     account_mean = X.ratio(
-        F.sum("paid_sum").over(account).cast("double"), F.sum("paid_count").over(account)
+        F.sum("paid_sum").over(account), F.sum("paid_count").over(account)
     )
     deviation = F.col("paid_count") * (
         F.col("paid_variance") + F.pow(group_mean - account_mean, 2)
@@ -161,8 +161,8 @@ def customer_features(rollup: DataFrame, profile: DataFrame, offers: DataFrame)
     rows = rollup.withColumn("paid_deviation", deviation).join(
         offers.select("offer_id", "offer_type", "channels"), "offer_id", "left"
     )
-    spent = F.coalesce(F.sum("paid_sum").cast("double"), F.lit(0.0))
-    rewards = F.coalesce(F.sum("reward_sum").cast("double"), F.lit(0.0))
+    spent = F.coalesce(F.sum("paid_sum"), F.lit(0.0))
+    rewards = F.coalesce(F.sum("reward_sum"), F.lit(0.0))
     paid = F.sum("paid_count")
     features = rows.groupBy("account_id").agg(
         F.bool_or(F.col("offer_type").isNotNull()).alias("_typed"),

@@ -63,6 +63,8 @@ def score_own_segment(models: Mapping[str, RandomForestRegressionModel], df: Dat
 
     Segments are filtered and scored apart, so a row passes through one forest, not all.
     """
+    if not models:
+        return df.limit(0).withColumn("prediction", F.lit(None).cast("double"))
     scored = [score(m, segment_rows(df, s)) for s, m in models.items()]
     return reduce(DataFrame.unionByName, scored)
 

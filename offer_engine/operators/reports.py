@@ -48,7 +48,7 @@ def completions_by_type_day(events: DataFrame, offers: DataFrame) -> DataFrame:
         .groupBy("offer_id", X.day_of(F.col(TIME)).alias("day"))
         .agg(
             F.count(F.lit(1)).alias("completions"),
-            F.sum(X.money("reward")).alias("rewards"),
+            F.sum("reward").alias("rewards"),
         )
     )
     return (
@@ -56,9 +56,7 @@ def completions_by_type_day(events: DataFrame, offers: DataFrame) -> DataFrame:
         .groupBy("offer_type", "day")
         .agg(
             F.sum(F.col("completions") * F.col("copies")).alias("completions"),
-            F.sum((F.col("rewards") * F.col("copies")).cast("decimal(38,4)"))
-            .cast("double")
-            .alias("total_rewards"),
+            F.sum(F.col("rewards") * F.col("copies")).alias("total_rewards"),
         )
         .orderBy("day", "offer_type")
     )
@@ -75,7 +73,7 @@ def demographics(profile: DataFrame) -> DataFrame:
         profile.filter(F.col("gender").isNotNull() & F.col("age").isNotNull())
         .groupBy("gender", X.age_group(F.col("age")).alias("age_group"), "account_id")
         .agg(
-            F.sum(X.money(limit)).alias("limits"),
+            F.sum(limit).alias("limits"),
             F.count(limit).alias("limit_count"),
         )
     )
@@ -83,7 +81,7 @@ def demographics(profile: DataFrame) -> DataFrame:
         per_account.groupBy("gender", "age_group")
         .agg(
             F.count("account_id").alias("customers"),
-            F.sum("limits").cast("double").alias("limits"),
+            F.sum("limits").alias("limits"),
             F.sum("limit_count").alias("limit_count"),
         )
         .select(
@@ -188,7 +186,7 @@ def spend_per_account(events: DataFrame, profile: DataFrame) -> DataFrame:
     """Total of all amounts of each account with a profile; null if it has none."""
     return (
         events.groupBy("account_id")
-        .agg(F.sum(X.money("amount")).cast("double").alias("total_amount"))
+        .agg(F.sum("amount").alias("total_amount"))
         .join(profile.select("account_id"), "account_id", "left_semi")
     )
 
@@ -230,10 +228,10 @@ def segment_offer_completion(
         .agg(
             F.max(X.is_event(C.EVENT_RECEIVED)).alias("received"),
             F.max(X.is_event(C.EVENT_COMPLETED)).alias("completed"),
-            F.sum(X.money(X.transaction_amount())).alias("spent"),
+            F.sum(X.transaction_amount()).alias("spent"),
         )
         .withColumn(
-            "total_spent", F.coalesce(F.sum("spent").over(account).cast("double"), F.lit(0.0))
+            "total_spent", F.coalesce(F.sum("spent").over(account), F.lit(0.0))
         )
         .join(aged, "account_id", "left_semi")
     )

@@ -109,9 +109,10 @@ def train(
     """
     vectors = features.prepare_features(splits)
     models = forest.train_segments(vectors, segments, params)
+    # One row per segment, kept so that reading it does not score the test side again.
     metrics = forest.evaluate_segments(models, vectors)
+    metrics = splits.sparkSession.createDataFrame(metrics.collect(), metrics.schema)
     if models_in is not None:
-        # One row per segment.
         by_segment = {r["offer_type"]: r.asDict() for r in metrics.collect()}
         for segment, model in models.items():
             found = by_segment.get(segment, {})
@@ -131,6 +132,32 @@ def train(
     return models, metrics
 
 
+def saved_models(
+    models_in: ModelStore,
+    segments: Sequence[str] = C.SEGMENTS,
+    versions: Mapping[str, int] | None = None,
+) -> Mapping[str, RandomForestRegressionModel]:
+    """The saved model of each segment that has one, the newest unless a version is given."""
+    saved = {r["model"] for r in models_in.runs().select("model").distinct().collect()}
+    versions = versions or {}
+    return {
+        s: models_in.load(f"rf_model_{s}", versions.get(s))
+        for s in segments
+        if f"rf_model_{s}" in saved
+    }
+
+
+def evaluate_saved(
+    splits: DataFrame,
+    models_in: ModelStore,
+    segments: Sequence[str] = C.SEGMENTS,
+    versions: Mapping[str, int] | None = None,
+) -> DataFrame:
+    """Metrics of saved models on the test side of stored splits, without fitting."""
+    models = saved_models(models_in, segments, versions)
+    return forest.evaluate_segments(models, features.prepare_features(splits))
+
+
 def scored_accounts(
     models: Mapping[str, RandomForestRegressionModel], table: DataFrame
 ) -> DataFrame:
@@ -165,12 +192,16 @@ def campaign(
     params: C.ForestParams = C.ForestParams(),
     interaction_schema=schemas.INTERACTIONS,
     channel_mode: str = "exploded",
+    models_root: str | None = None,
 ) -> DataFrame:
     """Everything from the three JSON inputs to the uplift report.
 
+    Models go to models_root, by default the folder `models` in that of the schema, where versions
+    add up over runs.
+
     Each step reads the tables of the step before it, so a lost executor repeats one step's
-    tasks and never the whole chain. Returns one row per segment: model metrics, how many
-    accounts the segment is recommended to, and the area under the uplift curve.
+    tasks and never the whole chain. Returns one row per segment: model metrics and version, how
+    many accounts the segment is recommended to, and the area under the uplift curve.
     """
     create_namespace(spark, names)
     # The three inputs do not depend on each other.
@@ -184,20 +215,30 @@ def campaign(
             lambda step: step(), map(inheritable_thread_target(spark), steps)
         )
     table = save_table(consolidated(events, profile, offers), names.qualified("consolidated"))
-    return uplift_report(table, names.qualified("splits"), params)
+    if models_root is None:
+        location = spark.catalog.getDatabase(names.namespace).locationUri
+        models_root = f"{location.rstrip('/')}/models"
+    return uplift_report(table, names.qualified("splits"), models_root, params)
 
 
 def uplift_report(
-    table: DataFrame, splits_name: str, params: C.ForestParams = C.ForestParams()
+    table: DataFrame,
+    splits_name: str,
+    models_root: str,
+    params: C.ForestParams = C.ForestParams(),
 ) -> DataFrame:
     spark = table.sparkSession
     folder = shared_folder(spark)
     splits = save_table(
         model_splits(table), splits_name, partition_by=("offer_type", "split")
     )
-    models_in = ModelStore(spark, f"{folder}/models")
+    models_in = ModelStore(spark, models_root)
     trained, metrics = train(splits, params, models_in=models_in)
-    loaded = {segment: models_in.load(f"rf_model_{segment}") for segment in trained}
+    loaded = saved_models(models_in, tuple(trained))
+    versions = models_in.latest().select(
+        F.substring_index("model", "rf_model_", -1).alias("offer_type"),
+        F.col("version").alias("model_version"),
+    )
     recommended = uplift.recommend_offer(
         store(scored_accounts(loaded, table), f"{folder}/scored")
     )
@@ -211,5 +252,6 @@ def uplift_report(
         metrics.join(chosen, metrics["offer_type"] == chosen["recommended_offer"], "left")
         .drop("recommended_offer")
         .na.fill(0, ["recommended_accounts"])
+        .join(versions, "offer_type", "left")
         .withColumn("auuc", F.lit(evaluation.auuc(curve).first()["auuc"]))
     )

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.ml.regression import RandomForestRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RUNS_SCHEMA = (
     "model string, version int, path string, params map<string,string>, "
-    "metrics map<string,double>, features array<string>, signature string"
+    "metrics map<string,double>, features array<string>, signature string, sample string"
 )
+#: Rows of model input and output that a run records.
+SAMPLE = 10
 
 
 @dataclass(frozen=True)
@@ -27,14 +31,17 @@ class ModelStore:
         return f"{self.root}/model_runs"
 
     def runs(self) -> DataFrame:
-        """All runs; creates the table where there is none."""
-        empty = self.spark.createDataFrame([], RUNS_SCHEMA)
-        empty.write.mode("ignore").parquet(self._runs_path)
-        return self.spark.read.schema(RUNS_SCHEMA).parquet(self._runs_path)
+        """All runs; none where nothing was saved yet."""
+        try:
+            return self.spark.read.schema(RUNS_SCHEMA).parquet(self._runs_path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], RUNS_SCHEMA)
 
     def latest(self) -> DataFrame:
         """The newest version of every model."""
-        newest = F.max_by(F.struct("version", "path", "params", "metrics"), "version")
+        newest = F.max_by(F.struct("version", "path", "params", "metrics", "features"), "version")
         return self.runs().groupBy("model").agg(newest.alias("run")).select("model", "run.*")
 
     def save(
@@ -46,14 +53,26 @@ class ModelStore:
         features: list[str],
         train: DataFrame,
     ) -> int:
-        """Write the next version of a model with its parameters, metrics and signature."""
+        """Write the next version of a model with its parameters, metrics, signature and a sample.
+
+        A version's folder is never overwritten: a run that finds it taken takes the next one.
+        The sample is the first SAMPLE training rows by account and offer with their predictions.
+        """
         newest = self.runs().filter(F.col("model") == name).agg(F.max("version")).first()[0]
         version = (newest or 0) + 1
-        path = f"{self.root}/{name}/v={version}"
-        model.write().overwrite().save(path)
-        sample = model.transform(train.select("features").limit(10)).select(
-            "features", "prediction"
-        )
+        while True:
+            path = f"{self.root}/{name}/v={version}"
+            try:
+                model.write().save(path)
+                break
+            except Exception as e:
+                if "already exists" not in str(e):
+                    raise
+                version += 1
+        order = [c for c in ("account_id", "offer_id") if c in train.columns]
+        first = (train.orderBy(*order) if order else train).limit(SAMPLE)
+        sample = model.transform(first.select("features")).select("features", "prediction")
+        lines = [[r["features"].toArray().tolist(), r["prediction"]] for r in sample.collect()]
         row = (
             name,
             version,
@@ -62,6 +81,7 @@ class ModelStore:
             {k: float(v) for k, v in metrics.items() if v is not None},
             features,
             sample.schema.simpleString(),
+            json.dumps(lines),
         )
         self.spark.createDataFrame([row], RUNS_SCHEMA).write.mode("append").parquet(
             self._runs_path

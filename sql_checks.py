@@ -78,8 +78,8 @@ offer_events AS (
 SPEND = """
 spend AS (
   SELECT account_id, count(amount) AS total_transactions,
-    CAST(sum(CAST(amount AS DECIMAL(18, 4))) AS DOUBLE) AS total_spent,
-    CAST(sum(CAST(amount AS DECIMAL(18, 4))) AS DOUBLE) / count(amount) AS avg_ticket,
+    CAST(sum(amount) AS DOUBLE) AS total_spent,
+    CAST(sum(amount) AS DOUBLE) / count(amount) AS avg_ticket,
     max(amount) AS max_spent
   FROM interactions WHERE event = 'transaction' GROUP BY 1)"""
 
@@ -149,9 +149,9 @@ ranked AS (
 CUMULATIVE = RANKED + """,
 cumulative AS (
   SELECT *,
-    CAST(sum(CASE WHEN t = 1 THEN CAST(total_spent AS DECIMAL(18, 4)) ELSE 0 END)
+    CAST(sum(CASE WHEN t = 1 THEN total_spent ELSE 0 END)
       OVER running AS DOUBLE) AS y_treat_cum,
-    CAST(sum(CASE WHEN t = 0 THEN CAST(total_spent AS DECIMAL(18, 4)) ELSE 0 END)
+    CAST(sum(CASE WHEN t = 0 THEN total_spent ELSE 0 END)
       OVER running AS DOUBLE) AS y_ctrl_cum,
     CAST(sum(t) OVER running AS BIGINT) AS n_treat_cum,
     CAST(sum(1 - t) OVER running AS BIGINT) AS n_ctrl_cum
@@ -161,9 +161,9 @@ cumulative AS (
 TOTALS = """
 totals AS (
   SELECT count(*) AS n,
-    CAST(sum(CASE WHEN t = 1 THEN CAST(total_spent AS DECIMAL(18, 4)) ELSE 0 END) AS DOUBLE)
+    CAST(sum(CASE WHEN t = 1 THEN total_spent ELSE 0 END) AS DOUBLE)
       AS y_treat_total,
-    CAST(sum(CASE WHEN t = 0 THEN CAST(total_spent AS DECIMAL(18, 4)) ELSE 0 END) AS DOUBLE)
+    CAST(sum(CASE WHEN t = 0 THEN total_spent ELSE 0 END) AS DOUBLE)
       AS y_ctrl_total,
     CAST(greatest(sum(t), 1) AS BIGINT) AS n_treat_total,
     CAST(greatest(sum(1 - t), 1) AS BIGINT) AS n_ctrl_total
@@ -192,9 +192,9 @@ known AS (SELECT * FROM attributed WHERE account_id IN (SELECT account_id FROM p
 TRANSACTION_FEATURES = """
 transaction_features AS (
   SELECT account_id, count(*) FILTER (WHERE event = 'transaction') AS transaction_frequency,
-    coalesce(CAST(sum(CAST(amount AS DECIMAL(18, 4))) FILTER (WHERE event = 'transaction')
+    coalesce(CAST(sum(amount) FILTER (WHERE event = 'transaction')
       AS DOUBLE), 0.0::DOUBLE) AS total_spend,
-    CASE WHEN count(amount) > 0 THEN CAST(sum(CAST(amount AS DECIMAL(18, 4))) AS DOUBLE)
+    CASE WHEN count(amount) > 0 THEN CAST(sum(amount) AS DOUBLE)
       / count(amount) END AS avg_transaction_value,
     round(stddev_samp(amount), 6) AS transaction_value_std,
     max(amount) AS max_transaction, min(amount) AS min_transaction
@@ -221,9 +221,9 @@ offer_features AS (
 REWARD_FEATURES = """
 reward_features AS (
   SELECT account_id,
-    coalesce(CAST(sum(CAST(reward AS DECIMAL(18, 4))) AS DOUBLE), 0.0::DOUBLE)
+    coalesce(CAST(sum(reward) AS DOUBLE), 0.0::DOUBLE)
       AS total_rewards_earned,
-    CASE WHEN count(reward) > 0 THEN CAST(sum(CAST(reward AS DECIMAL(18, 4))) AS DOUBLE)
+    CASE WHEN count(reward) > 0 THEN CAST(sum(reward) AS DOUBLE)
       / count(reward) END AS avg_reward_per_completion
   FROM known GROUP BY 1)"""
 
@@ -282,7 +282,7 @@ def _segments(medium: int, high: int) -> str:
     return f"WITH {ENRICHED}" + f""",
 behavior AS (
   SELECT account_id, CAST(sum(CASE WHEN event = 'transaction'
-      THEN CAST(amount AS DECIMAL(18, 4)) ELSE 0 END) AS DOUBLE) AS total_spent
+      THEN amount ELSE 0 END) AS DOUBLE) AS total_spent
   FROM enriched WHERE age IS NOT NULL GROUP BY 1),
 flags AS (
   SELECT b.account_id,
@@ -301,7 +301,66 @@ SELECT spending_segment, offer_type, CAST(sum(received) AS BIGINT) AS total_rece
 FROM flags GROUP BY 1, 2"""
 
 
-ORACLE = {
+_HAS_MODEL = "offer_type IN (SELECT offer_type FROM splits WHERE split = 'train')"
+_FOREST_FEATURES = (
+    "age,gender_idx,credit_card_limit,registered_on_days,total_transactions,avg_ticket,max_spent,"
+    "min_value,duration,discount_value,has_web,has_email,has_mobile,has_social"
+)
+_IN_RANGE = ", ".join(
+    f"CASE WHEN '{s}' IN (SELECT offer_type FROM splits WHERE split = 'train') THEN true END"
+    f" AS {s}_in_range"
+    for s in ("informational", "bogo", "discount", "no_offer")
+)
+
+#: Columns that hold sums of money or means of them, which both sides round: the last bits of a
+#: sum of doubles depend on the order of the rows.
+SPENT = ("total_spent", "avg_ticket")
+SPEND_FEATURES = ("total_spend", "avg_transaction_value")
+REWARD_SUMS = ("total_rewards_earned", "avg_reward_per_completion")
+MONEY = {
+    "consolidated": SPENT,
+    "one_row_per_account": SPENT,
+    "user_spend_stats": SPENT,
+    "completions_by_type_day": ("total_rewards",),
+    "demographics": ("avg_credit_limit",),
+    "spend_per_account": ("total_amount",),
+    "spend_quantiles": ("Total Amount",),
+    "transaction_features": SPEND_FEATURES,
+    "reward_features": REWARD_SUMS,
+    "customer_features": (*SPEND_FEATURES, *REWARD_SUMS),
+    "prepare_features": ("avg_ticket",),
+    "recommend_offer": ("total_spent",),
+    "uplift": ("total_spent",),
+    "uplift_rank": ("total_spent",),
+    "train_forest": ("total_spent",),
+    "tlearner_score": ("total_spent",),
+    "qini_cumulative": ("total_spent", "y_treat_cum", "y_ctrl_cum"),
+    "qini_totals": ("y_treat_total", "y_ctrl_total"),
+}
+DIGITS = 6
+
+
+def _rounded(name: str, sql: str) -> str:
+    columns = ", ".join(f'round("{c}", {DIGITS}) AS "{c}"' for c in MONEY.get(name, ()))
+    return f"SELECT * REPLACE ({columns}) FROM ({sql})" if columns else sql
+
+
+DEFINITIONS = {
+    "train_forest": f"""WITH {SPLITS}
+SELECT account_id, offer_id, total_spent, true AS in_range
+FROM splits WHERE split = 'test' AND offer_type = 'bogo'""",
+    "train_segments": f"""WITH {SPLITS}
+SELECT offer_type, count(*) AS n, true AS consistent
+FROM splits WHERE split = 'test' AND {_HAS_MODEL} GROUP BY 1""",
+    "model_runs": f"""WITH {SPLITS}
+SELECT DISTINCT 'rf_model_' || offer_type AS model, 1 AS version, 100 AS num_trees,
+  15 AS max_depth, '{_FOREST_FEATURES}' AS features
+FROM splits WHERE split = 'train'""",
+    "tlearner_score": f"""WITH {SPLITS}
+SELECT account_id, min(total_spent) AS total_spent, {_IN_RANGE} FROM splits GROUP BY 1""",
+    "campaign_report": f"""WITH {SPLITS}
+SELECT offer_type, count(*) AS n, 1 AS model_version, true AS consistent
+FROM splits WHERE split = 'test' AND {_HAS_MODEL} GROUP BY 1""",
     "consolidated": f"WITH {CONSOLIDATED} SELECT * FROM consolidated",
     "json_scan": f"WITH {INTERACTIONS} SELECT * FROM interactions",
     "table_roundtrip": f"WITH {INTERACTIONS} SELECT * FROM interactions",
@@ -332,7 +391,7 @@ FROM interactions WHERE time_since_test_start IS NOT NULL GROUP BY 1""",
     "completions_by_type_day": f"""WITH {INTERACTIONS}, {OFFER_CHANNELS}
 SELECT o.offer_type, CAST(floor(t.time_since_test_start) AS BIGINT) AS day,
   count(*) AS completions,
-  CAST(sum(CAST(t.reward AS DECIMAL(18, 4))) AS DOUBLE) AS total_rewards
+  CAST(sum(t.reward) AS DOUBLE) AS total_rewards
 FROM interactions t JOIN offer_channels o ON t.offer_id = o.offer_id
 WHERE t.event = 'offer completed' AND o.offer_type IS NOT NULL
   AND t.time_since_test_start IS NOT NULL
@@ -342,7 +401,7 @@ SELECT gender,
   CASE WHEN age < 30 THEN '18-29' WHEN age < 40 THEN '30-39' WHEN age < 50 THEN '40-49'
     WHEN age < 60 THEN '50-59' WHEN age < 70 THEN '60-69' ELSE '70+' END AS age_group,
   count(DISTINCT account_id) AS customers,
-  CAST(sum(CAST(credit_card_limit AS DECIMAL(18, 4))) AS DOUBLE) / count(credit_card_limit)
+  CAST(sum(credit_card_limit) AS DOUBLE) / count(credit_card_limit)
     AS avg_credit_limit
 FROM profile WHERE gender IS NOT NULL AND age IS NOT NULL GROUP BY 1, 2""",
     "funnel_by_type": f"""WITH {INTERACTIONS}, {OFFER_CHANNELS}, counts AS (
@@ -367,10 +426,10 @@ SELECT offer_id, offer_type, discount_value, min_value,
     AS completion_rate_pct
 FROM perf""",
     "spend_per_account": f"""WITH {ENRICHED}
-SELECT account_id, CAST(sum(CAST(amount AS DECIMAL(18, 4))) AS DOUBLE) AS total_amount
+SELECT account_id, CAST(sum(amount) AS DOUBLE) AS total_amount
 FROM enriched GROUP BY 1""",
     "spend_quantiles": f"""WITH {ENRICHED}, totals AS (
-  SELECT account_id, CAST(sum(CAST(amount AS DECIMAL(18, 4))) AS DOUBLE) AS total_amount
+  SELECT account_id, CAST(sum(amount) AS DOUBLE) AS total_amount
   FROM enriched GROUP BY 1)
 SELECT 'Min' AS "Percentile", min(total_amount) AS "Total Amount" FROM totals
 UNION ALL SELECT '25th Percentile', quantile_disc(total_amount, 0.25) FROM totals
@@ -454,3 +513,5 @@ FROM curve""",
   FROM curve)
 SELECT round(coalesce(sum(width * height), 0), 6) AS auuc FROM steps""",
 }
+
+ORACLE = {name: _rounded(name, sql) for name, sql in DEFINITIONS.items()}

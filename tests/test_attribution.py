@@ -136,3 +136,14 @@ def test_spend_of_only_null_amounts(spark):
     df = spark.createDataFrame([(1, "a", "transaction", 0.0, None, None, None)], SCHEMA)
     row = attribution.user_spend_stats(df).first()
     assert row.total_transactions == 0 and row.total_spent is None and row.avg_ticket is None
+
+
+@pytest.mark.parametrize(
+    "amounts", [[0.00004] * 1000, [1e15, 0.25], [10.0, float("nan")], [1.0, float("inf")]]
+)
+def test_spend_is_what_double_arithmetic_gives(spark, amounts):
+    rows = [(i, "a", "transaction", 1.0, None, x, None) for i, x in enumerate(amounts)]
+    got = attribution.user_spend_stats(spark.createDataFrame(rows, SCHEMA).repartition(3)).first()
+    assert got.total_transactions == len(amounts)
+    assert got.total_spent == pytest.approx(sum(amounts), nan_ok=True)
+    assert got.avg_ticket == pytest.approx(sum(amounts) / len(amounts), nan_ok=True)

@@ -1,3 +1,4 @@
+import json
 import random
 
 import pytest
@@ -127,3 +128,19 @@ def test_uplift_is_never_negative(splits, trained, table):
     assert rows.count() == splits.filter("split = 'test'").count()
     one = campaign.one_test_row(rows)
     assert one.count() == one.select("account_id").distinct().count()
+
+
+def test_versions_add_up_and_saved_models_are_evaluated(spark, splits, tmp_path):
+    models_in = ModelStore(spark, str(tmp_path / "models"))
+    assert models_in.runs().count() == 0 and not campaign.saved_models(models_in)
+    for version in (1, 2):
+        _, metrics = campaign.train(splits, SMALL, models_in=ModelStore(spark, models_in.root))
+        assert {r.version for r in models_in.latest().collect()} == {version}
+    again = campaign.evaluate_saved(splits, models_in, versions={"bogo": 1})
+    assert rows_of(again, "offer_type", "n", "mae") == rows_of(metrics, "offer_type", "n", "mae")
+    sample = json.loads(models_in.runs().first().sample)
+    assert 0 < len(sample) <= 10 and all(len(x) == len(C.FEATURES) for x, _ in sample)
+
+
+def test_no_model_scores_nothing(splits):
+    assert forest.score_own_segment({}, campaign.prepared(splits)).count() == 0

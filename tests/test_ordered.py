@@ -6,7 +6,6 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from offer_engine.functions.columns import money
 from offer_engine.operators import ordered
 
 
@@ -61,7 +60,7 @@ def test_rank_is_the_global_order(spark, kind, descending):
 def test_running_sums_do_not_depend_on_the_buckets(spark, buckets, tie_slices):
     rows = make_rows(1500, "half tied", seed=2)
     out = ordered.running_sums(
-        table(spark, rows), "score", "id", {"total": money("y"), "n": F.lit(1)},
+        table(spark, rows), "score", "id", {"total": F.col("y").cast("decimal(18,4)"), "n": F.lit(1)},
         buckets=buckets, tie_slices=tie_slices,
     )
     total, expected = Decimal(0), {}
