@@ -6,6 +6,9 @@ their centre, and gives the next leaf. How many leaves to visit is calibrated on
 widened until the recall against brute force reaches RECALL. Distances are worked out on the
 original vectors in double precision.
 
+The visits are made in two rounds. The first FIRST leaves of a query give it a distance that its
+result can't exceed; in the leaves after them only vectors within that distance are handed on.
+
 Leaves are cut into cells of bounded size by hash, and so are the queries of a leaf, so that a
 leaf with a third of all vectors is many tasks' work. Each cell returns its nearest few per query.
 
@@ -35,9 +38,11 @@ SAMPLE = 20_000
 CALIBRATION = 200
 BRANCHES = 8
 #: Vectors of a leaf that are aimed at, and leaves at most: a sixteenth of the sample.
-LEAF_ROWS = 200
+LEAF_ROWS = 400
 MOST_LEAVES = SAMPLE // 16
 RECALL = 0.97
+#: Leaves of the first round.
+FIRST = 3
 #: Vectors and queries of a cell at most, on average.
 CELL_ROWS = 2048
 CELL_QUERIES = 512
@@ -199,9 +204,9 @@ def best_of_cell(near: int):
         rows = rows.sort_values("id", kind="stable")
         ids, x = rows["id"].to_numpy(), np.stack(rows["vector"].to_list())
         out = []
-        for q, v in zip(queries["id"], queries["vector"], strict=True):
+        for q, v, bound in zip(queries["id"], queries["vector"], queries["bound"], strict=True):
             far = np.sqrt(((x - v) ** 2).sum(1))
-            far[ids == q] = np.inf
+            far[(ids == q) | (far > bound)] = np.inf
             most = min(2 * near, len(far))
             limit = np.partition(far, most - 1)[most - 1]
             at = np.flatnonzero((far <= limit) & np.isfinite(far))
@@ -214,6 +219,45 @@ def best_of_cell(near: int):
     return work
 
 
+def visited(queries: DataFrame, index: DataFrame, sizes: list[int], near: int) -> DataFrame:
+    """query_id, vec_id and score of the nearest few of each cell of the leaves that the queries
+    (id, vector, bound, leaves) visit, within their bounds."""
+    paths = queries.select("id", F.explode("leaves").alias("leaf"))
+    asks = {r["leaf"]: r["count"] for r in paths.groupBy("leaf").count().collect()}
+    cells = queries.sparkSession.createDataFrame(
+        [
+            (i, -(-max(1, n) // CELL_ROWS), -(-max(1, asks.get(i, 0)) // CELL_QUERIES))
+            for i, n in enumerate(sizes)
+        ],
+        "leaf int, row_parts int, query_parts int",
+    )
+    cells = F.broadcast(cells)  # MOST_LEAVES rows or few more
+    every = lambda parts: F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
+    mine = lambda parts: F.pmod(F.xxhash64("id"), F.col(parts)).cast("int")
+    left = (
+        queries.select("id", "vector", "bound", F.explode("leaves").alias("leaf"))
+        .join(cells, "leaf")
+        .withColumn("q", mine("query_parts"))
+        .withColumn("r", every("row_parts"))
+    )
+    right = index.join(cells, "leaf").withColumn("r", mine("row_parts"))
+    right = right.withColumn("q", every("query_parts"))
+    keys = ["leaf", "r", "q"]
+    return (
+        left.select(*keys, "id", "vector", "bound")
+        .groupBy(*keys)
+        .cogroup(right.select(*keys, "id", "vector").groupBy(*keys))
+        .applyInPandas(best_of_cell(near), "query_id long, vec_id long, score double")
+    )
+
+
+def top(found: DataFrame, near: int) -> DataFrame:
+    """The nearest of each query, ranked; each candidate once."""
+    found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= near)
+
+
 def search(
     table: DataFrame,
     is_query: Column,
@@ -250,35 +294,15 @@ def search(
     sizes = [counts.get(i, 0) for i in range(tree.leaves)]
     asked = rows.filter("asks").groupBy("id").agg(F.min("vector").alias("vector"))
     asked = stored(with_visits(asked, tree, sizes, visits, near))
-    paths = asked.select("id", F.explode("leaves").alias("leaf"))
-    asks = {r["leaf"]: r["count"] for r in paths.groupBy("leaf").count().collect()}
-    spark = table.sparkSession
-    cells = spark.createDataFrame(
-        [
-            (i, -(-max(1, n) // CELL_ROWS), -(-max(1, asks.get(i, 0)) // CELL_QUERIES))
-            for i, n in enumerate(sizes)
-        ],
-        "leaf int, row_parts int, query_parts int",
-    )
-    cells = F.broadcast(cells)
-    mine_row = F.pmod(F.xxhash64("id"), F.col("row_parts")).cast("int")
-    mine_query = F.pmod(F.xxhash64("id"), F.col("query_parts")).cast("int")
-    every = lambda parts: F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
-    left = (
-        asked.select("id", "vector", F.explode("leaves").alias("leaf"))
-        .join(cells, "leaf")
-        .withColumn("q", mine_query)
-        .withColumn("r", every("row_parts"))
+    first = F.slice("leaves", 1, FIRST)
+    rest = F.slice("leaves", FIRST + 1, F.greatest(F.size("leaves"), F.lit(1)))
+    start = asked.select("id", "vector", F.lit(float("inf")).alias("bound"), first.alias("leaves"))
+    near_ones = stored(visited(start, index, sizes, near))
+    bounds = top(near_ones, near).groupBy(F.col("query_id").alias("id")).agg(
+        F.when(F.count(F.lit(1)) >= near, F.max("score")).alias("bound")
     )
-    right = index.join(cells, "leaf").withColumn("r", mine_row).withColumn("q", every("query_parts"))
-    keys = ["leaf", "r", "q"]
-    found = (
-        left.select(*keys, "id", "vector")
-        .groupBy(*keys)
-        .cogroup(right.select(*keys, "id", "vector").groupBy(*keys))
-        .applyInPandas(best_of_cell(near), "query_id long, vec_id long, score double")
+    after = asked.join(bounds, "id", "left").select(
+        "id", "vector", F.coalesce("bound", F.lit(float("inf"))).alias("bound"), rest.alias("leaves")
     )
-    found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= near)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    found = near_ones.unionByName(visited(stored(after), index, sizes, near))
+    return top(found, near).select("query_id", "rank", "vec_id", "score")

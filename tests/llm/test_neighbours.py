@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from offer_engine.llm import neighbours
 
 KINDS = "vec_id long, embedding array<float>, label int"
-asks = F.col("vec_id") % 20 == 0
+def asks():
+    return F.col("vec_id") % 20 == 0
 
 
 def brute_force(rows, near=10):
@@ -22,7 +23,7 @@ def brute_force(rows, near=10):
 
 def found(df, **options):
     out = {}
-    for r in neighbours.search(df, asks, **options).orderBy("query_id", "rank").collect():
+    for r in neighbours.search(df, asks(), **options).orderBy("query_id", "rank").collect():
         got = out.setdefault(r.query_id, [])
         got.append((r.vec_id, r.score))
         assert r["rank"] == len(got)
