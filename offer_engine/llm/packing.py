@@ -20,7 +20,9 @@ import json
 import re
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -37,7 +39,7 @@ END = 2
 SHARD_TOKENS = 1 << 19
 KEY_BITS = 14
 K1, B = 1.2, 0.75
-#: Chunks whose tokens a task remembers.
+#: Chunks of each generation whose tokens a worker remembers.
 CACHE = 400_000
 #: Tokens that a task hands on at once.
 BATCH_TOKENS = 1 << 20
@@ -45,12 +47,14 @@ BATCH_TOKENS = 1 << 20
 PIECE = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
-def encoder(vocabulary: str) -> Callable[[str], list[int]]:
-    """Token ids of a text under a tokenizer given as JSON, equal to the library's own.
+@cache
+def encoder(vocabulary: str, code: str) -> Callable[[str], bytes]:
+    """Token ids of a text under a tokenizer given as JSON, equal to the library's own, as an
+    array of the type code.
 
     For the lower-case BPE whose tokens never reach over white space, chunks between white space
     are encoded once and remembered, and chunks of Latin letters go straight to the BPE model.
-    Any other tokenizer encodes whole texts.
+    Any other tokenizer encodes whole texts. A worker process keeps the encoder for later tasks.
     """
     import regex
     from tokenizers import Tokenizer
@@ -67,38 +71,52 @@ def encoder(vocabulary: str) -> Callable[[str], list[int]]:
         and r"[^\s" in steps[0]["pattern"]["Regex"]
     )
     if not by_chunk:
-        return lambda text: full.encode(text, add_special_tokens=False).ids
+        return lambda text: array(code, full.encode(text, add_special_tokens=False).ids).tobytes()
     pieces = regex.compile(steps[0]["pattern"]["Regex"]).findall
     model = full.model
     # Byte-level BPE writes bytes as letters: printable ones as themselves, the rest from 256 on.
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     hidden = [b for b in range(256) if b not in set(shown)]
     letters = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+    normal = unicodedata.normalize
     latin = re.compile("[!-~\u00a1-\u012f\u0131-\u024f]+").fullmatch
     # Python also splits at four control characters that are no white space here.
     odd = re.compile("[\x1c-\x1f]").search
     space = re.compile("[ \t-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+").split
-    known: dict[str, list[int]] = {}
-
-    def fresh(chunk: str) -> list[int]:
+    # Chunks and their pieces, in two generations: what is used moves to the newer one, and when
+    # that is full the older one goes.
+    new: dict[str, bytes] = {}
+    old: dict[str, bytes] = {}
+
+    def remembered(chunk: str, make: Callable[[str], bytes]) -> bytes:
+        nonlocal new, old
+        found = old.get(chunk)
+        if found is None:
+            found = make(chunk)
+        if len(new) >= CACHE:
+            old, new = new, {}
+        new[chunk] = found
+        return found
+
+    def of_piece(piece: str) -> bytes:
+        if not piece.isascii():
+            piece = piece.encode().decode("latin-1").translate(letters)
+        return array(code, [t.id for t in model.tokenize(piece)]).tobytes()
+
+    def of_chunk(chunk: str) -> bytes:
         if not latin(chunk):
-            return full.encode(chunk, add_special_tokens=False).ids
-        ids: list[int] = []
-        for piece in pieces(unicodedata.normalize("NFC", chunk).lower()):
-            as_letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(letters)
-            ids += [t.id for t in model.tokenize(as_letters)]
-        return ids
-
-    def encode(text: str) -> list[int]:
-        ids: list[int] = []
-        for chunk in space(text) if odd(text) else text.split():
-            found = known.get(chunk)
-            if found is None:
-                if len(known) >= CACHE:
-                    known.clear()
-                found = known[chunk] = fresh(chunk)
-            ids += found
-        return ids
+            return array(code, full.encode(chunk, add_special_tokens=False).ids).tobytes()
+        found = pieces(normal("NFC", chunk).lower())
+        if found == [chunk]:
+            return of_piece(chunk)
+        return b"".join([new.get(p) or remembered(p, of_piece) for p in found])
+
+    def encode(text: str) -> bytes:
+        chunks = space(text) if odd(text) else text.split()
+        found = list(map(new.get, chunks))
+        if None in found:
+            found = [f or new.get(c) or remembered(c, of_chunk) for c, f in zip(chunks, found, strict=True)]
+        return b"".join(found)
 
     return encode
 
@@ -122,7 +140,8 @@ def tokenized(vocabulary, window: int, end: int, slim: np.dtype):
     """Rows of texts to rows of tokens: whole windows with their place, the rest with a key."""
 
     def rows(batches: Iterator[pa.RecordBatch]):
-        encode = encoder(vocabulary.value)
+        encode = encoder(vocabulary.value, slim.char)
+        closing = array(slim.char, [end]).tobytes()
         part = TaskContext.get().partitionId()
         windows = waiting = 0
         out: list[tuple] = []
@@ -137,7 +156,7 @@ def tokenized(vocabulary, window: int, end: int, slim: np.dtype):
 
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = np.array(encode(text.as_py() or "") + [end], slim)
+                ids = np.frombuffer(encode(text.as_py() or "") + closing, slim)
                 n = len(ids)
                 for at in range(0, n - window + 1, window):
                     number = (part << 40 | windows) * 2 + 1
