@@ -26,6 +26,7 @@ from offer_engine.operators import (
     split,
     uplift,
 )
+from offer_engine.operators.skew import measure_skew
 from offer_engine.plans import campaign
 from offer_engine.sources import testdata
 from offer_engine.sources.models import ModelStore
@@ -133,6 +134,22 @@ def _temporary_names(spark: SparkSession) -> C.TableNames:
     return names
 
 
+def _ingested(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    """The ingest job of one input: JSON files to a catalog table, read back."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        path = shared_folder(spark)
+        source = {"offers": testdata.offers, "profile": testdata.profile}
+        source.get(name, testdata.interactions)(spark, sf).write.json(path)
+        names = _temporary_names(spark)
+        if name == "profile":
+            return campaign.ingest_profile(spark, path, names, testdata.AS_OF)
+        job = {"offers": campaign.ingest_offers, "transactions": campaign.ingest_transactions}
+        return job[name](spark, path, names)
+
+    return run
+
+
 def table_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     name = _temporary_names(spark).qualified("transactions")
     save_table(_events(spark, sf), name)
@@ -181,6 +198,23 @@ def user_spend_stats(spark: SparkSession, sf: str) -> DataFrame:
     return attribution.user_spend_stats(_events(spark, sf))
 
 
+#: Rows from which the queries named heavy take an account or an instant for heavy, so that the
+#: plans for skewed logs run on tables of any size.
+FEW_ROWS = 2
+
+
+def attribute_offers_heavy(spark: SparkSession, sf: str) -> DataFrame:
+    events = store(_events(spark, sf), shared_folder(spark))
+    return attribution.attribute_offers(events, skew=measure_skew(events, FEW_ROWS))
+
+
+def consolidated_heavy(spark: SparkSession, sf: str) -> DataFrame:
+    events = store(_events(spark, sf), shared_folder(spark))
+    return campaign.consolidated(
+        events, _profile(spark, sf), _offer_channels(spark, sf), measure_skew(events, FEW_ROWS)
+    )
+
+
 # Reports.
 
 
@@ -214,6 +248,22 @@ def spend_quantiles(spark: SparkSession, sf: str) -> DataFrame:
     return reports.spend_quantiles(store(spend_per_account(spark, sf), shared_folder(spark)))
 
 
+def spend_quantiles_approx(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether each approximate quantile's rank is within the error asked for."""
+    error = 0.01
+    totals = store(spend_per_account(spark, sf), shared_folder(spark))
+    found = reports.spend_quantiles(totals, error=error)
+    amount = F.col("total_amount")
+    tests = []
+    for row in found.collect():  # one row for each quantile asked for
+        share, value = dict(C.QUANTILES)[row["Percentile"]], row["Total Amount"]
+        within = (F.count_if(amount < value) <= F.ceil((share + error) * F.count(amount))) & (
+            F.count_if(amount <= value) >= F.floor((share - error) * F.count(amount))
+        )
+        tests.append(F.struct(F.lit(row["Percentile"]).alias("Percentile"), within.alias("within_error")))
+    return totals.agg(F.inline(F.array(*tests))) if tests else found.select("Percentile", F.lit(True).alias("within_error"))
+
+
 def _segment_offer_completion(cuts) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         return reports.segment_offer_completion(
@@ -444,6 +494,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {
         "consolidated": _consolidated,
         "json_scan": json_scan,
+        "ingest_offers": _ingested("offers"),
+        "ingest_profile": _ingested("profile"),
+        "ingest_transactions": _ingested("transactions"),
         "table_roundtrip": table_roundtrip,
         "flatten_interactions": _events,
         "clean_profile": clean_profile,
@@ -451,6 +504,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "offer_channel_rows": offer_channel_rows,
         "offer_channel_flags": offer_channel_flags,
         "attribute_offers": _attributed,
+        "attribute_offers_heavy": attribute_offers_heavy,
+        "consolidated_heavy": consolidated_heavy,
         "extract_transactions": extract_transactions,
         "offer_events": offer_events,
         "user_spend_stats": user_spend_stats,
@@ -462,6 +517,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "offer_performance": offer_performance,
         "spend_per_account": spend_per_account,
         "spend_quantiles": spend_quantiles,
+        "spend_quantiles_approx": spend_quantiles_approx,
         "segment_offer_completion": _segment_offer_completion(C.SPEND_SEGMENTS),
         "segment_offer_completion_500_750": _segment_offer_completion(CUTS_500_750),
         "transaction_features": transaction_features,

@@ -9,6 +9,7 @@ from offer_engine import config as C
 from offer_engine.config import ROW_ID, TIME
 from offer_engine.functions import columns as X
 from offer_engine.operators.skew import LogSkew, measure_skew, place_by_account
+from offer_engine.sources.tables import shared_folder, store
 
 # Cuts of one event at one instant at most, and how many of them are compared at once.
 SLICES = 4096
@@ -53,21 +54,26 @@ def _fill_sliced(events: DataFrame, row_id: str, heavy_rows: int, slices: int) -
     steps = F.split(F.lit(",".join(str(i / slices) for i in range(1, slices))), ",")
     # Only groups of heavy_rows rows or more get cuts, about one per heavy_rows rows.
     # measure_skew sets heavy_rows to at least HEAVY_SHARE of the log, so this table has at most
-    # 1 / HEAVY_SHARE rows and about as many cuts.
-    cuts = (
-        events.groupBy(group.alias("_group"))
-        .agg(
-            F.count(F.lit(1)).alias("_rows"),
-            F.percentile_approx(row_id, steps.cast("array<double>"), 4 * slices).alias("_cuts"),
-        )
-        .filter(F.col("_rows") >= heavy_rows)
-        .select(
+    # 1 / HEAVY_SHARE rows and about as many cuts. The cuts are approximate and depend on the order
+    # in which parts are merged, so they are stored: all that reads them sees the same ones.
+    spark = events.sparkSession
+    grouped = events.withColumn("_group", group)
+    large = grouped.groupBy("_group").agg(F.count(F.lit(1)).alias("_rows"))
+    large = store(large.filter(F.col("_rows") >= heavy_rows), shared_folder(spark))
+    sketches = (
+        grouped.join(F.broadcast(large), "_group")
+        .groupBy("_group", "_rows")
+        .agg(F.percentile_approx(row_id, steps.cast("array<double>"), 4 * slices).alias("_cuts"))
+    )
+    cuts = store(
+        sketches.select(
             "_group",
             _every(F.col("_cuts"), F.floor(F.lit(slices) * heavy_rows / F.col("_rows"))).alias(
                 "_cuts"
             ),
         )
-        .withColumn("_ends", _every(F.col("_cuts"), F.lit(BLOCK)))
+        .withColumn("_ends", _every(F.col("_cuts"), F.lit(BLOCK))),
+        shared_folder(spark),
     )
     # The cuts below a row are counted in two steps: whole blocks, then inside the next block.
     blocks = BLOCK * F.size(F.filter("_ends", lambda c: c < F.col(row_id)))

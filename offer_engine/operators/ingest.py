@@ -75,7 +75,11 @@ def flatten_interactions(interactions: DataFrame) -> DataFrame:
 
 
 def number_rows(events: DataFrame, row_id: str = C.ROW_ID) -> DataFrame:
-    """Row numbers for a log that has none. Save the result before using the numbers."""
+    """Row numbers for rows that have none: negative ones, in the order in which they are read.
+
+    Save the result before using the numbers.
+    """
+    number = F.monotonically_increasing_id() - F.lit(2**62)
     if row_id in events.columns:
-        return events
-    return events.withColumn(row_id, F.monotonically_increasing_id())
+        number = F.coalesce(row_id, number)
+    return events.withColumn(row_id, number)

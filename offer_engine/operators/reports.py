@@ -15,7 +15,6 @@ from offer_engine import config as C
 from offer_engine.config import TIME
 from offer_engine.functions import columns as X
 from offer_engine.operators.ordered import value_at_ranks
-from offer_engine.operators.skew import LogSkew, place_by_account
 
 
 def daily_activity(events: DataFrame) -> DataFrame:
@@ -94,13 +93,11 @@ def demographics(profile: DataFrame) -> DataFrame:
     )
 
 
-def funnel_by_type(
-    offers: DataFrame, events: DataFrame, skew: LogSkew | None = None
-) -> DataFrame:
+def funnel_by_type(offers: DataFrame, events: DataFrame) -> DataFrame:
     """Distinct accounts that received, viewed and completed offers of each type, with rates.
 
-    Distinct accounts are flags per account, which are then counted. An even log is shuffled
-    once for both levels of flags.
+    Distinct accounts are flags per account and offer, combined where events are read, and then
+    counted.
     """
     types = offers.filter(F.col("offer_type").isNotNull()).select("offer_id", "offer_type")
     steps = {
@@ -114,8 +111,7 @@ def funnel_by_type(
         & F.col("event").isin(list(steps.values()))
     )
     reached = (
-        place_by_account(steps_taken, skew)
-        .groupBy("account_id", "offer_id")
+        steps_taken.groupBy("account_id", "offer_id")
         .agg(*[F.max(X.is_event(e)).alias(step) for step, e in steps.items()])
     )
     counts = (

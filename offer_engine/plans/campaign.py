@@ -46,9 +46,9 @@ def ingest_profile(
 
 
 def ingest_transactions(
-    spark: SparkSession, path: str, names: C.TableNames, schema=schemas.INTERACTIONS
+    spark: SparkSession, path: str, names: C.TableNames, schema=schemas.NUMBERED_INTERACTIONS
 ) -> DataFrame:
-    """Flat events with a row number, which is added here where the log has none."""
+    """Flat events with the log's row numbers, which are added here where it has none."""
     raw = read_json(spark, path, schema)
     events = ingest.number_rows(ingest.flatten_interactions(raw))
     return save_table(events, names.qualified("transactions"))
@@ -190,7 +190,7 @@ def campaign(
     names: C.TableNames,
     as_of: dt.date | None = None,
     params: C.ForestParams = C.ForestParams(),
-    interaction_schema=schemas.INTERACTIONS,
+    interaction_schema=schemas.NUMBERED_INTERACTIONS,
     channel_mode: str = "exploded",
     models_root: str | None = None,
 ) -> DataFrame:

@@ -319,6 +319,7 @@ SPEND_FEATURES = ("total_spend", "avg_transaction_value")
 REWARD_SUMS = ("total_rewards_earned", "avg_reward_per_completion")
 MONEY = {
     "consolidated": SPENT,
+    "consolidated_heavy": SPENT,
     "one_row_per_account": SPENT,
     "user_spend_stats": SPENT,
     "completions_by_type_day": ("total_rewards",),
@@ -514,4 +515,14 @@ FROM curve""",
 SELECT round(coalesce(sum(width * height), 0), 6) AS auuc FROM steps""",
 }
 
+# Other ways to the same rows.
+DEFINITIONS |= {
+    "attribute_offers_heavy": DEFINITIONS["attribute_offers"],
+    "consolidated_heavy": DEFINITIONS["consolidated"],
+    "ingest_offers": DEFINITIONS["explode_channels"],
+    "ingest_profile": DEFINITIONS["clean_profile"],
+    "ingest_transactions": DEFINITIONS["flatten_interactions"],
+    "spend_quantiles_approx": """SELECT unnest(['Min', '25th Percentile', 'Median', '75th Percentile', 'Max'])
+  AS "Percentile", true AS within_error""",
+}
 ORACLE = {name: _rounded(name, sql) for name, sql in DEFINITIONS.items()}
