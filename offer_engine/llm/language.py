@@ -38,8 +38,10 @@ MOST_LANGUAGES = 32
 FEATURES = 1 << 16
 EPOCHS = 6
 #: Words that are scored at once; chunks of a text that a task remembers.
-BLOCK_WORDS = 1 << 18
-CACHE = 500_000
+BLOCK_WORDS = 1 << 17
+CACHE = 150_000
+#: New words whose features are held at once.
+NEW_WORDS = 1 << 13
 
 ADDED = ("held_out", "lang_pred", "score")
 
@@ -159,15 +161,16 @@ class Field:
         size = len(self.weights) - len(self.languages)
         out = np.zeros((len(words), len(self.languages)))
         full = [i for i, w in enumerate(words) if w]
-        if full:
-            index, counts = features([words[i] for i in full], size)
+        for at in range(0, len(full), NEW_WORDS):
+            part = full[at : at + NEW_WORDS]
+            index, counts = features([words[i] for i in part], size)
             starts = np.cumsum(counts) - counts
             scores = np.add.reduceat(self.weights[index], starts, axis=0)
-            known = [self.lexicon.get(words[i], -1) for i in full]
+            known = [self.lexicon.get(words[i], -1) for i in part]
             scores += np.where(
                 np.array(known)[:, None] >= 0, self.weights[size + np.maximum(known, 0)], 0
             )
-            out[full] = scores
+            out[part] = scores
         return np.exp(out - out.max(1, keepdims=True))
 
     def look_up(self, chunks: list[str]) -> np.ndarray:

@@ -40,7 +40,7 @@ SHARD_TOKENS = 1 << 19
 KEY_BITS = 14
 K1, B = 1.2, 0.75
 #: Chunks of each generation whose tokens a worker remembers.
-CACHE = 400_000
+CACHE = 100_000
 #: Tokens that a task hands on at once.
 BATCH_TOKENS = 1 << 20
 
