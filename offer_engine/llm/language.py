@@ -6,7 +6,8 @@ languages of neighbouring words are learned, so a text may switch between them.
 gives each word a distribution; a text's language is the one with the largest sum over its words.
 
 The field is fitted on a bounded sample: WINDOWS stretches of WINDOW_WORDS words of labelled
-texts, the stretch of a text chosen by hash, shared out evenly to languages. Half of the training
+texts, the stretch of a text chosen by hash, shared out evenly to languages. Every language is
+learned: with many, each still has LEAST_STRETCHES and the sample grows. Half of the training
 sequences join stretches of two texts, so that switches occur in them.
 
 Edge cases: a null text, or one without letters, has the language `und` and score 0. Without any
@@ -23,7 +24,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from offer_engine.llm.common import packed, ship, unpacked
@@ -32,8 +33,8 @@ UNKNOWN = "und"
 #: Bound of the training sample, and words of each of its stretches.
 WINDOWS = 4000
 WINDOW_WORDS = 64
-#: Languages learned, most frequent first.
-MOST_LANGUAGES = 32
+#: Stretches of a language at least, where it has them.
+LEAST_STRETCHES = 50
 #: Hashed features.
 FEATURES = 1 << 16
 EPOCHS = 6
@@ -230,10 +231,8 @@ def sequences(samples: list[tuple[str, list[str]]], index: dict[str, int], seed:
 def fit(samples: list[tuple[str, list[str]]], size: int = FEATURES, epochs: int = EPOCHS) -> Field:
     """Fit a field to (language, words) by maximum likelihood, with AdaGrad."""
     samples = [(lang, ws) for lang, ws in samples if ws]
-    often = Counter(lang for lang, _ in samples)
-    languages = sorted(x for x, _ in sorted(often.items(), key=lambda p: (-p[1], p[0]))[:MOST_LANGUAGES])
+    languages = sorted({lang for lang, _ in samples})
     index = {x: i for i, x in enumerate(languages)}
-    samples = [s for s in samples if s[0] in index]
     k = len(languages)
     per_word: dict[str, Counter] = defaultdict(Counter)
     for lang, ws in samples:
@@ -332,7 +331,7 @@ def fold(key: Column, folds: int) -> Column:
 def training_sample(docs: DataFrame, text: str, lang: str, key: str, windows: int):
     """At most `windows` (language, words), the documents chosen by the hash of their key.
 
-    Languages share the bound evenly. A document gives one stretch of WINDOW_WORDS words.
+    Languages share the bound evenly, with LEAST_STRETCHES for each even if that exceeds it. A document gives one stretch of WINDOW_WORDS words.
     """
     ship(docs.sparkSession)
     rows = docs.select(
@@ -340,11 +339,10 @@ def training_sample(docs: DataFrame, text: str, lang: str, key: str, windows: in
         F.col(f"`{text}`").alias("text"),
         F.xxhash64(F.col(f"`{key}`").cast("string"), F.length(f"`{text}`")).alias("h"),
     ).filter("lang is not null and text is not null")
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
-    counts = {r["lang"]: r["count"] for r in counts.collect()}
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not counts:
         return []
-    share = windows // len(counts)
+    share = max(windows // len(counts), LEAST_STRETCHES)
     unit = (F.col("h") / F.lit(2.0**64)) + 0.5
     limits = F.create_map(
         *[F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, min(1.0, 1.2 * share / n))]
@@ -368,7 +366,10 @@ def training_sample(docs: DataFrame, text: str, lang: str, key: str, windows: in
             )
 
     found = chosen.mapInArrow(stretches, "lang string, h long, words array<string>")
-    found = sorted((r["lang"], r["h"], r["words"]) for r in found.limit(2 * windows).collect())
+    found = found.filter(F.size("words") > 0)
+    first = Window.partitionBy("lang").orderBy("h", "words")
+    found = found.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= share)
+    found = sorted((r["lang"], r["h"], r["words"]) for r in found.collect())
     taken: Counter = Counter()
     out = []
     for lang, _, words in found:

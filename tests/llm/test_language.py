@@ -99,3 +99,18 @@ def test_without_labels_and_empty(spark):
     rows = [(i, "some words", None, "s", 0) for i in range(5)]
     assert {r.lang_pred for r in language.identify(table(spark, rows)).collect()} == {"und"}
     assert language.identify(table(spark, [])).count() == 0
+
+
+def test_every_one_of_forty_languages_is_learned(spark):
+    """Also the rare ones."""
+    rng = random.Random(8)
+    rows = []
+    for n in range(40):
+        sounds = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(4)) for _ in range(6)]
+        for _ in range(12 if n < 8 else 40):
+            text = " ".join("".join(rng.choices(sounds, k=2)) for _ in range(20))
+            rows.append((len(rows), text, f"l{n:02}", "s", 0))
+    lang = {r[0]: r[2] for r in rows}
+    got = language.identify(table(spark, rows)).collect()
+    assert {r.lang_pred for r in got} == set(lang.values())
+    assert np.mean([r.lang_pred == lang[r.doc_id] for r in got if r.held_out]) > 0.95
