@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offer_engine.llm import chat, exact_dedup, language, mixing, near_duplicates, neighbours, packing, pseudonyms, sharding, toxicity
+from offer_engine.llm import chat, exact_dedup, language, mixing, near_duplicates, neighbours, packing, pseudonyms, repair, repair_sql, sharding, toxicity
 
 #: Stands in for a secret that a real job would be handed.
 KEY = "key of the registered query"
@@ -61,6 +61,11 @@ def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.shard(documents(spark, sf), columns=["doc_id"])
 
 
+def op11_repair(spark: SparkSession, sf: str) -> DataFrame:
+    conversations = spark.read.parquet(f"{sf}/conversations.parquet")
+    return repair.repair_report(repair.damaged(conversations), conversations)
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_chat": op2_chat,
@@ -72,9 +77,11 @@ QUERIES = {
     "op8_neighbours": op8_neighbours,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_sharding": op10_sharding,
+    "op11_repair": op11_repair,
 }
 
 ORACLE = {
+    "op11_repair": repair_sql.SQL,
     "op1_mixing": r"""
 WITH d AS (
   SELECT doc_id, source,
