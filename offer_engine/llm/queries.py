@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offer_engine.llm import chat, exact_dedup, language, mixing, near_duplicates, neighbours, packing, pseudonyms, repair, repair_sql, sharding, toxicity
+from offer_engine.llm import chat, exact_dedup, language, mixing, near_duplicates, neighbours, packing, passages, pseudonyms, repair, repair_sql, sharding, toxicity
 
 #: Stands in for a secret that a real job would be handed.
 KEY = "key of the registered query"
@@ -66,6 +66,10 @@ def op11_repair(spark: SparkSession, sf: str) -> DataFrame:
     return repair.repair_report(repair.damaged(conversations), conversations)
 
 
+def op12_passages(spark: SparkSession, sf: str) -> DataFrame:
+    return passages.without_repeats(documents(spark, sf), columns=["doc_id"]).drop("spans")
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_chat": op2_chat,
@@ -78,9 +82,28 @@ QUERIES = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_sharding": op10_sharding,
     "op11_repair": op11_repair,
+    "op12_passages": op12_passages,
 }
 
 ORACLE = {
+    "op12_passages": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS words
+  FROM documents
+), w AS (
+  SELECT r, doc_id, i, array_to_string(words[i : i + 49], ' ') AS span
+  FROM (SELECT *, unnest(range(1, len(words) - 48)) AS i FROM d)
+), f AS (
+  SELECT r, i FROM w JOIN (SELECT span, min(doc_id) AS least FROM w GROUP BY span) USING (span) WHERE least < doc_id
+), p AS (
+  SELECT r, i, word, coalesce(max(hit) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), 0) AS gone
+  FROM (SELECT r, unnest(range(1, len(words) + 1)) AS i, unnest(words) AS word FROM d) LEFT JOIN (SELECT *, 1 AS hit FROM f) USING (r, i)
+), k AS (
+  SELECT r, sum(gone)::BIGINT AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (WHERE gone = 0) AS kept FROM p GROUP BY r
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (r)
+""",
     "op11_repair": repair_sql.SQL,
     "op1_mixing": r"""
 WITH d AS (
