@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offer_engine.llm import chat, exact_dedup, language, mixing, near_duplicates, neighbours, packing, passages, pseudonyms, repair, repair_sql, sharding, toxicity
+from offer_engine.llm import alignment, chat, exact_dedup, language, mixing, near_duplicates, neighbours, packing, passages, pseudonyms, repair, repair_sql, sharding, toxicity
 
 #: Stands in for a secret that a real job would be handed.
 KEY = "key of the registered query"
@@ -70,6 +70,12 @@ def op12_passages(spark: SparkSession, sf: str) -> DataFrame:
     return passages.without_repeats(documents(spark, sf), columns=["doc_id"]).drop("spans")
 
 
+def op13_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    first = public_tokenizers.path("byte_bpe_50k.json")
+    second = public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.align(documents(spark, sf), first, second, columns=["doc_id"])
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_chat": op2_chat,
@@ -83,6 +89,7 @@ QUERIES = {
     "op10_sharding": op10_sharding,
     "op11_repair": op11_repair,
     "op12_passages": op12_passages,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLE = {
