@@ -8,7 +8,8 @@ hold a linked pair of ids is counted over the whole corpus and told back to ever
 
 Neither tokenizer joins what lies before a space to what follows it, so a text is encoded in chunks
 that begin with a space after another character. Chunks are remembered by a worker, up to
-REMEMBERED bytes; groups and links never leave a chunk. Texts lie in slots (see `slots`): a slot
+REMEMBERED bytes; groups and links never leave a chunk. New chunks are encoded a line
+at a time. Texts lie in slots (see `slots`): a slot
 sends the pairs it holds and in how many documents to buckets by first id, the bucket's sums are
 streamed, so it holds the pairs of its ids alone, and each slot gets the counts of its own pairs.
 Equal texts are aligned once and counted as often as they occur.
@@ -26,7 +27,6 @@ import os
 import re
 from collections.abc import Iterator
 from functools import cache
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +35,6 @@ from pyspark.sql import functions as F
 
 from offer_engine.llm.common import joined_groups, packed, ship, stored, unpacked
 from offer_engine.llm.slots import (
-    SLOT_BYTES,
     bucket_bits,
     digest_of,
     merged,
@@ -49,8 +48,15 @@ from offer_engine.llm.slots import (
 )
 
 #: Bytes of chunks and what is known of them that a worker remembers, and a chunk's own share.
-REMEMBERED = 1 << 26
+REMEMBERED = 5 << 25
 ENTRY = 400
+COUNT = 40
+#: Characters of a line of chunks that are encoded together, and bytes of texts aligned together.
+LINE = 1 << 16
+PORTION = 1 << 20
+#: Bytes of text of a slot, and tasks at most for all slots.
+SLOT = 1 << 22
+TASKS = 100_000
 
 ADDED = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 _chunks = re.compile(r" \s*\S*(?:[^\S ]\s*\S*)*").findall
@@ -72,20 +78,30 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
-def refined(ends: list[int], tokens: list[bytes]) -> list[int]:
-    """Byte ends of tokens from coarse ends: those that do not lie at a whole number of a token's
-    bytes are moved to where its decoded bytes end."""
-    cuts, at = [], 0
-    for end, token in zip(ends, tokens, strict=True):
-        at = end if end - at == len(token) else at + len(token)
-        cuts.append(at)
-    return cuts
+def refined(coarse: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Byte ends of tokens: coarse ends, but for those inside a character or at a byte that stands
+    alone, which are where the token's decoded bytes end."""
+    ends, decoded = coarse.copy(), np.cumsum(lengths)
+    inside = ends != decoded
+    ends[inside] = decoded[inside]
+    return ends
+
+
+def overlaps(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of tokens of two ascending lists of byte ends that overlap, and where each pair ends:
+    between two cuts that follow each other lies one token of either."""
+    ends = np.sort(np.concatenate([a_ends, b_ends]), kind="stable")
+    ends = ends[np.diff(ends, prepend=-1) > 0]
+    return np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends), ends
 
 
 class Aligner:
-    """Both tokenizers and the chunks they have met."""
+    """Both tokenizers and the chunks they have met.
 
-    def __init__(self, first: str, second: bytes):
+    With `groups` the coarse cuts are taken and groups written; without it only links are found,
+    from the lengths of the decoded bytes alone."""
+
+    def __init__(self, first: str, second: bytes, groups: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
@@ -93,71 +109,132 @@ class Aligner:
         self.a = Tokenizer.from_str(first)
         self.a.encode_special_tokens = True
         letters = byte_letters()
-        self.a_bytes = {i: bytes(letters.get(c, 63) for c in t) for t, i in self.a.get_vocab().items()}
+        names = {i: t for t, i in self.a.get_vocab().items()}
+        self.a_bytes = [bytes(letters.get(c, 63) for c in names.get(i, "")) for i in range(max(names) + 1)]
         self.b = SentencePieceProcessor(model_proto=second)
         self.b_bytes = [
             bytes([int(self.b.id_to_piece(i)[3:5], 16)]) if self.b.is_byte(i) else self.b.id_to_piece(i).replace("▁", " ").encode()
             for i in range(self.b.get_piece_size())
         ]
-        self.known: dict[str, tuple | None] = {}
+        self.a_length, self.b_length = (np.array([len(t) for t in x]) for x in (self.a_bytes, self.b_bytes))
+        # A token's number with what follows it: another of its side, the other side, a next group.
+        self.marked = [f"{i}{mark}" for mark, x in ((",", self.a_bytes), ("|", self.a_bytes), (",", self.b_bytes), (";", self.b_bytes)) for i in range(len(x))]
+        self.groups = groups
+        # Of each chunk the linked pairs of ids, its groups (each followed by `;`), and its numbers of
+        # tokens and groups, COUNT bits each: plain values, which the collector need not visit.
+        self.links: dict[str, bytes] = {}
+        self.written: dict[str, str] = {}
+        self.counts: dict[str, int] = {}
+        self.broken: set[str] = set()
         self.size = 0
 
-    def spans(self, chunk: str) -> tuple[list[int], list[int]]:
-        """Ids of the second tokenizer and the coarse byte ends of its pieces, with the space."""
-        text = chunk[1:]
+    def spans(self, text: str, starts: np.ndarray | None) -> tuple[list[int], np.ndarray]:
+        """Ids of the second tokenizer and the coarse byte ends of its pieces, its own space included."""
         if hasattr(self.b, "encode_as_immutable_proto"):
             pieces = self.b.encode_as_immutable_proto(text).pieces
-            at = list(accumulate((len(c.encode()) for c in text), initial=1))
-            return [p.id for p in pieces], [at[p.end] for p in pieces]
+            ends = np.array([p.end for p in pieces], np.int64) + 1
+            return [p.id for p in pieces], ends if starts is None else starts[ends]
         pieces = self.b.encode(text, return_type="proto").pieces
-        return [p.id for p in pieces], [p.end + 1 for p in pieces]
-
-    def of_chunk(self, chunk: str) -> tuple | None:
-        """(tokens of both, groups, groups as text, linked pairs of ids), or None if a tokenizer does
-        not give the chunk back."""
-        data = chunk.encode()
-        coarse = self.a.encode(chunk, add_special_tokens=False)
-        a = coarse.ids
-        if len(data) == len(chunk):
-            ends = [e for _, e in coarse.offsets]
+        return [p.id for p in pieces], np.array([p.end for p in pieces], np.int64) + 1
+
+    def encoded(self, line: str, data: bytes):
+        """Ids and byte ends of both, or None if one of them does not give the line back."""
+        coarse = self.a.encode(line, add_special_tokens=False)
+        a, starts = coarse.ids, None
+        if self.groups:
+            if len(data) != len(line):
+                # Where each character starts, and the end.
+                starts = np.append(np.flatnonzero(np.frombuffer(data, np.uint8) & 0xC0 != 0x80), len(data))
+            b, b_ends = self.spans(line[1:], starts)
         else:
-            at = list(accumulate((len(c.encode()) for c in chunk), initial=0))
-            ends = [at[e] for _, e in coarse.offsets]
-        b, b_ends = self.spans(chunk)
-        a_tokens, b_tokens = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(a_tokens) != data or b"".join(b_tokens) != data:
-            return None
-        a_cuts, b_cuts = refined(ends, a_tokens), refined(b_ends, b_tokens)
-        i = j = first_a = first_b = 0
-        groups, links = [], []
-        while i < len(a):
-            links.append(a[i] << 32 | b[j])
-            end_a, end_b = a_cuts[i], b_cuts[j]
-            i += end_a <= end_b
-            j += end_b <= end_a
-            if end_a == end_b:
-                groups.append(",".join(map(str, a[first_a:i])) + "|" + ",".join(map(str, b[first_b:j])))
-                first_a, first_b = i, j
-        return len(a), len(b), len(groups), ";".join(groups), np.array(links, np.uint64).tobytes()
-
-    def __call__(self, text: bytes) -> list[str] | None:
-        """The chunks of a text, all of them known now; None if it has no tokens."""
-        if not text:
+            b = self.b.encode(line[1:])
+        if b"".join(map(self.a_bytes.__getitem__, a)) != data or b"".join(map(self.b_bytes.__getitem__, b)) != data:
             return None
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        if not self.groups:
+            return a, b, np.cumsum(self.a_length[a]), np.cumsum(self.b_length[b])
+        ends = np.array([e for _, e in coarse.offsets], np.int64)
+        ends = ends if starts is None else starts[ends]
+        return a, b, refined(ends, self.a_length[a]), refined(b_ends, self.b_length[b])
+
+    def learn(self, lines: list[str]) -> None:
+        """Align chunks that can stand in one line, one after another."""
+        line = "".join(lines)
+        data = line.encode()
+        found = self.encoded(line, data)
+        if found is None:
+            if len(lines) == 1:
+                self.broken.add(line)
+                self.size += ENTRY + len(line)
+            else:
+                for chunk in lines:
+                    self.learn([chunk])
+            return
+        a, b, a_ends, b_ends = found
+        stops = np.cumsum([len(c.encode()) for c in lines])
+        i, j, ends = overlaps(a_ends, b_ends)
+        links = (a[i] << 32 | b[j]).astype(np.uint64).tobytes()
+        of_links = np.searchsorted(ends, stops, "right").tolist()
+        n_a, n_b = (np.searchsorted(x, stops, "right").tolist() for x in (a_ends, b_ends))
+        if self.groups:
+            cuts = np.intersect1d(a_ends, b_ends, assume_unique=True)
+            n_groups = np.searchsorted(cuts, stops, "right").tolist()
+            side = np.concatenate([np.searchsorted(cuts, a_ends) * 2, np.searchsorted(cuts, b_ends) * 2 + 1])
+            last = np.concatenate([np.append(np.diff(side[: len(a)]), 1) > 0, np.append(np.diff(side[len(a) :]), 1) > 0])
+            mark = np.concatenate([a, b + 2 * len(self.a_bytes)])
+            mark[: len(a)] += last[: len(a)] * len(self.a_bytes)
+            mark[len(a) :] += last[len(a) :] * len(self.b_bytes)
+            written = list(map(self.marked.__getitem__, mark[np.argsort(side, kind="stable")].tolist()))
+        at = (0, 0, 0, 0)
+        for k, chunk in enumerate(lines):
+            to = (n_a[k], n_b[k], n_groups[k] if self.groups else 0, of_links[k])
+            self.links[chunk] = links[at[3] * 8 : to[3] * 8]
+            if self.groups:
+                self.written[chunk] = "".join(written[at[0] + at[1] : to[0] + to[1]])
+                self.counts[chunk] = (to[0] - at[0] << COUNT | to[1] - at[1]) << COUNT | to[2] - at[2]
+            at = to
+        self.size += ENTRY * len(lines) + len(data) + len(links) + 8 * (len(a) + len(b))
+
+    def __call__(self, texts: list[bytes]) -> list[list[str] | None]:
+        """The chunks of each text, all of them known now; None if a text has no tokens."""
         if self.size > REMEMBERED:
-            self.known.clear()
+            for known in (self.links, self.written, self.counts, self.broken):
+                known.clear()
             self.size = 0
-        found = chunks(" " + text.decode())
-        for chunk in set(found).difference(self.known):
-            self.known[chunk] = made = self.of_chunk(chunk)
-            self.size += ENTRY + len(chunk) + (len(made[3]) + len(made[4]) if made else 0)
-        return None if any(self.known[c] is None for c in set(found)) else found
+        found = [chunks(" " + t.decode()) if t else [] for t in texts]
+        waiting, size = [], 0
+        for chunk in set().union(*found).difference(self.links, self.broken):
+            # What ends in white space, or has the sign that stands for it, would meet the next chunk.
+            if chunk[-1].isspace() or "▁" in chunk:
+                self.learn([chunk])
+                continue
+            waiting.append(chunk)
+            size += len(chunk)
+            if size > LINE:
+                self.learn(waiting)
+                waiting, size = [], 0
+        if waiting:
+            self.learn(waiting)
+        return [f if f and self.broken.isdisjoint(f) else None for f in found]
+
+
+def portions(texts: list, size: int) -> Iterator[list]:
+    """Runs of (digest, id, text, n) with about so many bytes of text."""
+    held, n = [], 0
+    for row in texts:
+        held.append(row)
+        n += len(row[2])
+        if n > size:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
 
 
 @cache
-def aligner(first: str, second: bytes) -> Aligner:
+def aligner(first: str, second: bytes, groups: bool) -> Aligner:
     """A worker keeps it for later tasks."""
-    return Aligner(first, second)
+    return Aligner(first, second, groups)
 
 
 HELD = pa.schema([("bucket", pa.int32()), ("slot", pa.int32()), ("pairs", pa.binary()), ("docs", pa.binary())])
@@ -182,28 +259,15 @@ def holding(first, second, bits: int):
     """A slot's linked pairs and in how many documents each is, by bucket of the first id."""
 
     def hold(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        align = aligner(first.value, second.value)
+        align = aligner(first.value, second.value, False)
         keys, docs = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        waiting, times = [], []
-
-        def flushed():
-            both = np.concatenate([keys, *waiting]), np.concatenate([docs, *times])
-            waiting.clear()
-            times.clear()
-            return summed(*both)
-
-        size = 0
-        for _, _, text, n in merged(table):
-            found = align(text)
-            if found:
-                pairs = np.unique(np.frombuffer(b"".join([align.known[c][4] for c in set(found)]), np.uint64))
-                waiting.append(pairs)
-                times.append(np.full(len(pairs), n, np.int64))
-                size += len(pairs)
-                if size > 1 << 22:
-                    keys, docs = flushed()
-                    size = 0
-        keys, docs = flushed()
+        for part in portions(merged(table), PORTION):
+            pairs, times = [keys], [docs]
+            for found, (_, _, _, n) in zip(align([t for _, _, t, _ in part]), part, strict=True):
+                if found:
+                    pairs.append(np.unique(np.frombuffer(b"".join([align.links[c] for c in set(found)]), np.uint64)))
+                    times.append(np.full(len(pairs[-1]), n, np.int64))
+            keys, docs = summed(np.concatenate(pairs), np.concatenate(times))
         bucket = (keys >> np.uint64(32)) & np.uint64((1 << bits) - 1)
         order = np.argsort(bucket, kind="stable")
         out = {f.name: [] for f in HELD}
@@ -253,7 +317,7 @@ def aligning(first, second, with_groups: bool):
     """The figures of each text of a slot."""
 
     def align_slot(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        align = aligner(first.value, second.value)
+        align = aligner(first.value, second.value, True)
         parts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for row in answers.select(["pairs", "totals", "best"]).to_pylist():
             docs = unpack(row["totals"], np.int64)
@@ -263,33 +327,35 @@ def aligning(first, second, with_groups: bool):
         pairs, docs, best = (np.concatenate(p) for p in parts)
         order = np.argsort(pairs, kind="stable")
         pairs, docs, best = pairs[order], docs[order], best[order]
-        figures: dict[str, tuple[int, ...]] = {}
         out = {f.name: [] for f in FOUND}
-        for digest, _, text, n in merged(texts):
-            found = align(text)
-            sums, groups = [0] * 6, ""
-            if found:
-                # The figures of chunks that this slot has not met yet, all at once.
-                new = list(set(found).difference(figures))
-                if new:
-                    links = [np.frombuffer(align.known[c][4], np.uint64) for c in new]
-                    at = np.searchsorted(pairs, np.concatenate(links))
-                    begin = np.concatenate([[0], np.cumsum([len(x) for x in links])[:-1]])
-                    high, total = np.add.reduceat(best[at], begin).tolist(), np.add.reduceat(docs[at], begin).tolist()
-                    for i, c in enumerate(new):
-                        figures[c] = (*align.known[c][:3], len(links[i]), high[i], total[i])
-                sums = [sum(column) for column in zip(*[figures[c] for c in found], strict=True)]
-                groups = ";".join([align.known[c][3] for c in found])
-            row = (digest, n, *sums, hashlib.sha256(groups.encode()).hexdigest() if found else "", groups if with_groups else None)
-            for name, value in zip(FOUND.names, row, strict=True):
-                out[name].append(value)
+        for part in portions(merged(texts), PORTION):
+            lines = align([t for _, _, t, _ in part])
+            # The figures of all chunks of these texts, which then are sums of rows.
+            number = {c: i for i, c in enumerate(set().union(*[f for f in lines if f]))}
+            figures = np.zeros((len(number), 6), np.int64)
+            if number:
+                links = [align.links[c] for c in number]
+                at = np.searchsorted(pairs, np.frombuffer(b"".join(links), np.uint64))
+                figures[:, :3] = [(n >> 2 * COUNT, n >> COUNT & (1 << COUNT) - 1, n & (1 << COUNT) - 1) for n in map(align.counts.__getitem__, number)]
+                figures[:, 3] = [len(x) // 8 for x in links]
+                begin = np.concatenate([[0], np.cumsum(figures[:-1, 3])])
+                figures[:, 4] = np.add.reduceat(best[at], begin)
+                figures[:, 5] = np.add.reduceat(docs[at], begin)
+            for found, (digest, _, _, n) in zip(lines, part, strict=True):
+                sums, groups = [0] * 6, ""
+                if found:
+                    sums = figures[[number[c] for c in found]].sum(0).tolist()
+                    groups = "".join([align.written[c] for c in found])[:-1]
+                sha = hashlib.sha256(groups.encode()).hexdigest() if found else ""
+                for name, value in zip(FOUND.names, (digest, n, *sums, sha, groups if with_groups else None), strict=True):
+                    out[name].append(value)
         return rows_of(out, FOUND)
 
     return align_slot
 
 
 def align(
-    docs: DataFrame, first: str, second: str, text: str = "text", columns=None, with_groups: bool = False, slot_bytes: int = SLOT_BYTES
+    docs: DataFrame, first: str, second: str, text: str = "text", columns=None, with_groups: bool = False, slot_bytes: int = SLOT
 ) -> DataFrame:
     """The named columns of docs (all by default) for every row with the seven figures, and with the
     groups themselves if asked for. `first` and `second` are paths of a byte-level tokenizer's JSON
@@ -303,7 +369,8 @@ def align(
     rows = docs.select(digest_of(text).alias("digest"), F.lit(None).cast("long").alias("id"), whole)
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     slots = slot_count(size, slot_bytes)
-    texts = text_slots(rows, slots)
+    # Slots are work for the processor more than bytes, so they are not brought together by size.
+    texts = text_slots(rows, slots).repartition(min(slots, TASKS), "slot")
     held = stored(texts.groupBy("slot").applyInArrow(holding(*vocabularies, bucket_bits(slots)), HELD_SQL))
     sums = stored(held.groupBy("bucket").applyInArrow(totals, TOTAL_SQL))
     answers = held.drop("docs").join(sums, "bucket").mapInArrow(told, TOLD_SQL)
