@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import importlib.util
 import sys
 from collections.abc import Callable
+from functools import reduce
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -31,24 +31,29 @@ from offer_engine.plans import campaign
 from offer_engine.sources import testdata
 from offer_engine.sources.models import ModelStore
 from offer_engine.sources.tables import (
-    create_namespace,
     read_json,
     read_table,
     save_table,
     shared_folder,
     store,
+    temporary_names,
 )
 from sql_checks import DIGITS, MONEY, ORACLE
 
 # The training-data operators are a part that can be taken out.
 LLM_QUERIES, LLM_ORACLE = {}, {}
-if importlib.util.find_spec("offer_engine.llm"):
+try:
     from offer_engine.llm.queries import ORACLE as LLM_ORACLE
-    from offer_engine.llm.queries import QUERIES as LLM_QUERIES
-if importlib.util.find_spec("corpus_pipeline"):
+    from offer_engine.llm.queries import QUERIES
+
+    LLM_QUERIES = dict(QUERIES)
     import corpus_pipeline
 
-    LLM_QUERIES = {**LLM_QUERIES, "pipeline": corpus_pipeline.run}
+    LLM_QUERIES["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL:
+        LLM_ORACLE = {**LLM_ORACLE, "pipeline": corpus_pipeline.ORACLE_SQL}
+except ImportError:
+    pass
 
 FOREST = C.ForestParams()
 CUTS_500_750 = ((750, "High Spender"), (500, "Medium Spender"))
@@ -127,13 +132,6 @@ def json_scan(spark: SparkSession, sf: str) -> DataFrame:
     return ingest.flatten_interactions(read_json(spark, path, schemas.NUMBERED_INTERACTIONS))
 
 
-def _temporary_names(spark: SparkSession) -> C.TableNames:
-    folder = shared_folder(spark)
-    names = C.TableNames(schema=folder.rsplit("/", 1)[-1].replace("-", "_"))
-    create_namespace(spark, names, folder)
-    return names
-
-
 def _ingested(name: str) -> Callable[[SparkSession, str], DataFrame]:
     """The ingest job of one input: JSON files to a catalog table, read back."""
 
@@ -141,7 +139,7 @@ def _ingested(name: str) -> Callable[[SparkSession, str], DataFrame]:
         path = shared_folder(spark)
         source = {"offers": testdata.offers, "profile": testdata.profile}
         source.get(name, testdata.interactions)(spark, sf).write.json(path)
-        names = _temporary_names(spark)
+        names = temporary_names(spark)
         if name == "profile":
             return campaign.ingest_profile(spark, path, names, testdata.AS_OF)
         job = {"offers": campaign.ingest_offers, "transactions": campaign.ingest_transactions}
@@ -151,7 +149,7 @@ def _ingested(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def table_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    name = _temporary_names(spark).qualified("transactions")
+    name = temporary_names(spark).qualified("transactions")
     save_table(_events(spark, sf), name)
     return read_table(spark, name)
 
@@ -444,6 +442,30 @@ def model_runs(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def evaluate_saved(spark: SparkSession, sf: str) -> DataFrame:
+    """Models saved by one run, evaluated by another that fits nothing."""
+    models_in = ModelStore(spark, shared_folder(spark))
+    splits = _stored_splits(spark, sf)
+    campaign.train(splits, FOREST, models_in=models_in)
+    return _consistent(campaign.evaluate_saved(splits, ModelStore(spark, models_in.root)))
+
+
+def recorded_sample(spark: SparkSession, sf: str) -> DataFrame:
+    """What a run recorded of its models' input and output."""
+    models_in = ModelStore(spark, shared_folder(spark))
+    splits = _stored_splits(spark, sf)
+    campaign.train(splits, FOREST, models_in=models_in)
+    ranges = _label_range(splits)
+    within = [
+        (F.col("model") == f"rf_model_{s}") & F.col("prediction").between(*ranges[s]) for s in ranges
+    ]
+    return models_in.samples().groupBy("model", "version").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(F.size("features")).alias("values"),
+        F.bool_and(reduce(Column.__or__, within, F.lit(False))).alias("in_range"),
+    )
+
+
 def tlearner_score(spark: SparkSession, sf: str) -> DataFrame:
     folder = shared_folder(spark)
     table = store(_consolidated(spark, sf), f"{folder}/table")
@@ -469,7 +491,7 @@ def campaign_report(spark: SparkSession, sf: str) -> DataFrame:
     report = campaign.campaign(
         spark,
         *[f"{folder}/{name}" for name in raw],
-        names=_temporary_names(spark),
+        names=temporary_names(spark),
         as_of=testdata.AS_OF,
         params=FOREST,
         interaction_schema=schemas.NUMBERED_INTERACTIONS,
@@ -479,7 +501,9 @@ def campaign_report(spark: SparkSession, sf: str) -> DataFrame:
         & F.col("recommended_accounts").between(0, raw["profile"].count())
         & (F.abs("auuc") < float("inf"))
     )
-    return report.select("offer_type", "n", "model_version", consistent.alias("consistent"))
+    return report.filter("accounts > 0").select(
+        "offer_type", "n", "accounts", "model_version", consistent.alias("consistent")
+    )
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -546,6 +570,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "train_forest": train_forest,
         "train_segments": train_segments,
         "model_runs": model_runs,
+        "evaluate_saved": evaluate_saved,
+        "recorded_sample": recorded_sample,
         "tlearner_score": tlearner_score,
         "campaign_report": campaign_report,
     }

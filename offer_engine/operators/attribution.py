@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from offer_engine import config as C
 from offer_engine.config import ROW_ID, TIME
 from offer_engine.functions import columns as X
+from offer_engine.functions.exact import exact_sum
 from offer_engine.operators.skew import LogSkew, measure_skew, place_by_account
 from offer_engine.sources.tables import shared_folder, store
 
@@ -149,7 +150,7 @@ def user_spend_stats(events: DataFrame) -> DataFrame:
         .groupBy("account_id")
         .agg(
             F.count("amount").alias("total_transactions"),
-            F.sum("amount").alias("total_spent"),
+            exact_sum(F.col("amount")).alias("total_spent"),
             F.max("amount").alias("max_spent"),
         )
         .select(

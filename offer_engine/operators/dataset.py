@@ -8,10 +8,30 @@ from pyspark.sql import functions as F
 from offer_engine import config as C
 from offer_engine.config import TIME
 from offer_engine.functions import columns as X
+from offer_engine.functions import exact
+
+#: Rows of a dimension up to which it is broadcast, after it has been counted.
+FEW_ROWS = 100_000
 
 SPEND_DEFAULTS = {"total_transactions": 0, "total_spent": 0.0, "avg_ticket": 0.0, "max_spent": 0.0}
 
 
+def with_dimension(rows: DataFrame, offers: DataFrame, few: int = FEW_ROWS) -> DataFrame:
+    """rows with the attributes of their offer, null where they have none.
+
+    The offers are counted once. Up to `few` rows of them are broadcast, so the rows stay where they
+    are. Beyond, rows with an offer are shuffled by it, and rows without one, which may be most, are
+    not: their attributes are null anyway.
+    """
+    if offers.limit(few + 1).count() <= few:
+        return rows.join(F.broadcast(offers), "offer_id", "left")
+    none = F.col("offer_id").isNull() | (F.col("offer_id") == C.NO_OFFER_ID)
+    joined = rows.filter(~none).join(offers, "offer_id", "left")
+    # An offers table may list the missing offer itself.
+    listed = offers.filter(F.col("offer_id") == C.NO_OFFER_ID)
+    return joined.unionByName(rows.filter(none).join(F.broadcast(listed), "offer_id", "left"))
+
+
 def join_dataset(
     offer_counts: DataFrame, profile: DataFrame, offers: DataFrame, spend: DataFrame
 ) -> DataFrame:
@@ -49,12 +69,12 @@ def account_offer_rollup(events: DataFrame, week_length: float = C.WEEK_LENGTH)
         X.count_event(C.EVENT_COMPLETED).alias("completed"),
         X.count_event(C.EVENT_TRANSACTION).alias("transactions"),
         F.count(amount).alias("paid_count"),
-        F.sum(amount).alias("paid_sum"),
+        exact.sum_of(amount).alias("paid_sum"),
         F.var_pop(amount).alias("paid_variance"),
         F.max(amount).alias("paid_max"),
         F.min(amount).alias("paid_min"),
         F.count(reward).alias("reward_count"),
-        F.sum(reward).alias("reward_sum"),
+        exact.sum_of(reward).alias("reward_sum"),
         F.max(paid_at).alias("paid_last"),
         F.min(paid_at).alias("paid_first"),
         F.max(TIME).alias("seen_last"),
@@ -79,13 +99,11 @@ def consolidate(rollup: DataFrame, profile: DataFrame, offers: DataFrame) -> Dat
         F.col("completed").alias("cnt_completed"),
         X.converted(F.col("viewed"), F.col("completed")).alias("is_converted_valid"),
         F.sum("paid_count").over(account).alias("total_transactions"),
-        F.coalesce(F.sum("paid_sum").over(account), F.lit(0.0)).alias("total_spent"),
+        exact.merged(F.col("paid_sum"), account).alias("spent"),
         F.coalesce(F.max("paid_max").over(account), F.lit(0.0)).alias("max_spent"),
-    )
+    ).withColumn("total_spent", F.coalesce(exact.total(F.col("spent")), F.lit(0.0)))
     return (
-        counts.join(profile, "account_id")
-        .withColumn("_offer", X.offer_key("offer_id", "account_id"))
-        .join(offers.withColumnRenamed("offer_id", "_offer"), "_offer", "left")
+        with_dimension(counts.join(profile, "account_id"), offers)
         .select(
             "account_id",
             "offer_id",
@@ -106,15 +124,11 @@ def consolidate(rollup: DataFrame, profile: DataFrame, offers: DataFrame) -> Dat
 def enriched_events(events: DataFrame, profile: DataFrame, offers: DataFrame) -> DataFrame:
     """One row per event of a known account, with its profile and its offer's attributes.
 
-    offers has one row per offer with channels as an array, so events are not repeated.
+    offers has one row per offer with channels as an array, so events are not repeated. With few
+    offers the log is shuffled by account alone.
     """
-    return (
-        events.join(profile, "account_id")
-        .withColumn("_offer", X.offer_key("offer_id", "account_id"))
-        .join(offers.withColumnRenamed("offer_id", "_offer"), "_offer", "left")
-        .select(
-            *events.columns,
-            *[c for c in profile.columns if c != "account_id"],
-            *[c for c in offers.columns if c != "offer_id"],
-        )
+    return with_dimension(events.join(profile, "account_id"), offers).select(
+        *events.columns,
+        *[c for c in profile.columns if c != "account_id"],
+        *[c for c in offers.columns if c != "offer_id"],
     )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from offer_engine import config as C
+from offer_engine.functions import exact
 from offer_engine.operators.ordered import into_buckets, running_sums
 
 
@@ -50,16 +51,32 @@ def _arms(y: str, t: str) -> dict[str, Column]:
     }
 
 
+OUTCOMES = ("y_treat_cum", "y_ctrl_cum")
+
+
+def _parts(y: str, t: str) -> dict[str, Column]:
+    """The same with each outcome split into whole numbers, whose sums take any order."""
+    parts: dict[str, Column] = {}
+    for name, value in _arms(y, t).items():
+        split = exact.limbs(value) if name in OUTCOMES else {"": value}
+        parts |= {f"{name}{field}": part for field, part in split.items()}
+    return parts
+
+
+def _whole(name: str, prefix: str = "") -> Column:
+    """An outcome from the sums of its parts."""
+    return exact.from_limbs(lambda field: F.col(f"{prefix}{name}{field}"))
+
+
 def qini_totals(df: DataFrame, y: str, t: str) -> DataFrame:
     """Row count, and outcome and size of both arms; a missing arm counts as size 1."""
-    arms = _arms(y, t)
     return df.agg(
         F.count(F.lit(1)).alias("n"),
-        *[F.sum(value).alias(f"_{name}") for name, value in arms.items()],
+        *[F.sum(value).alias(f"_{name}") for name, value in _parts(y, t).items()],
     ).select(
         "n",
-        F.coalesce(F.col("_y_treat_cum"), F.lit(0.0)).alias("y_treat_total"),
-        F.coalesce(F.col("_y_ctrl_cum"), F.lit(0.0)).alias("y_ctrl_total"),
+        F.coalesce(_whole("y_treat_cum", "_"), F.lit(0.0)).alias("y_treat_total"),
+        F.coalesce(_whole("y_ctrl_cum", "_"), F.lit(0.0)).alias("y_ctrl_total"),
         _or_one(F.col("_n_treat_cum")).alias("n_treat_total"),
         _or_one(F.col("_n_ctrl_cum")).alias("n_ctrl_total"),
     )
@@ -71,10 +88,9 @@ def _or_one(size: Column) -> Column:
 
 def qini_cumulative(df: DataFrame, y: str, t: str, score: str, row_id: str, **options) -> DataFrame:
     """Rank by score, descending, with the running outcome and size of both arms."""
-    sums = _arms(y, t)
-    ranked = running_sums(df, score, row_id, sums, **options)
-    return ranked.withColumns(
-        {name: F.col(name).cast("double") for name in sums if name.startswith("y_")}
+    ranked = running_sums(df, score, row_id, _parts(y, t), **options)
+    return ranked.withColumns({name: _whole(name) for name in OUTCOMES}).select(
+        *df.columns, "rank", *_arms(y, t)
     )
 
 
@@ -87,7 +103,7 @@ def qini_curve(
     hold one; only those are shuffled and sorted, so most rows are just counted. df should be a
     stored table, as it is read three times.
     """
-    sums = _arms(y, t)
+    sums = _parts(y, t)
     placed = into_buckets(df, score, row_id, **options)
     width = F.greatest(F.floor(F.col("_total") / n_bins), F.lit(1))
     offsets = placed.offsets(sums).withColumn("_width", width)
@@ -99,13 +115,12 @@ def qini_curve(
     n_treat = _or_one(F.col("_total_n_treat_cum"))
     n_ctrl = _or_one(F.col("_total_n_ctrl_cum"))
     uplift = (
-        F.col("_total_y_treat_cum").cast("double") / n_treat
-        - F.col("_total_y_ctrl_cum").cast("double") / n_ctrl
+        _whole("y_treat_cum", "_total_") / n_treat - _whole("y_ctrl_cum", "_total_") / n_ctrl
     )
     balance = F.when(
         F.col("n_ctrl_cum") > 0, F.col("n_treat_cum") / F.col("n_ctrl_cum")
     ).otherwise(0.0)
-    real = F.col("y_treat_cum").cast("double") - F.col("y_ctrl_cum").cast("double") * balance
+    real = _whole("y_treat_cum") - _whole("y_ctrl_cum") * balance
     frac = F.col("rank") / F.col("_total")
     return points.select(
         frac.alias("frac"),

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from offer_engine import config as C
 from offer_engine.config import TIME
 from offer_engine.functions import columns as X
+from offer_engine.functions import exact
+from offer_engine.operators.dataset import with_dimension
 
 # Channels in the order of the feature table.
 ENGAGEMENT = ("email", "mobile", "social", "web")
@@ -18,7 +20,7 @@ ENGAGEMENT = ("email", "mobile", "social", "web")
 
 def transaction_features(events: DataFrame) -> DataFrame:
     amount = X.transaction_amount()
-    total = F.coalesce(F.sum(amount), F.lit(0.0))
+    total = F.coalesce(exact.exact_sum(amount), F.lit(0.0))
     return events.groupBy("account_id").agg(
         X.count_event(C.EVENT_TRANSACTION).alias("transaction_frequency"),
         total.alias("total_spend"),
@@ -54,7 +56,7 @@ def offer_features(events: DataFrame) -> DataFrame:
 
 def reward_features(events: DataFrame) -> DataFrame:
     reward = X.completion_reward()
-    total = F.coalesce(F.sum(reward), F.lit(0.0))
+    total = F.coalesce(exact.exact_sum(reward), F.lit(0.0))
     return events.groupBy("account_id").agg(
         total.alias("total_rewards_earned"),
         X.ratio(total, F.count(reward)).alias("avg_reward_per_completion"),
@@ -147,22 +149,25 @@ def join_feature_sets(*sets: DataFrame) -> DataFrame:
 def customer_features(rollup: DataFrame, profile: DataFrame, offers: DataFrame) -> DataFrame:
     """All six feature sets at once, from the (account, offer) rollup.
 
-    Rollup rows are already placed by account, so this adds no shuffle of its own. The standard
+    Rollup rows are already placed by account. With few offers, which are broadcast, this adds no
+    shuffle of its own; with many, only rows with an offer are shuffled by it. The standard
     deviation is merged from the group variances around the account's mean.
     """
     account = Window.partitionBy("account_id")
-    group_mean = X.ratio(F.col("paid_sum"), F.col("paid_count"))
-    account_mean = X.ratio(
-        F.sum("paid_sum").over(account), F.sum("paid_count").over(account)
-    )
+    group_mean = X.ratio(exact.total(F.col("paid_sum")), F.col("paid_count"))
+    all_paid = exact.total(F.col("_paid"))
+    account_mean = X.ratio(all_paid, F.sum("paid_count").over(account))
     deviation = F.col("paid_count") * (
         F.col("paid_variance") + F.pow(group_mean - account_mean, 2)
     )
-    rows = rollup.withColumn("paid_deviation", deviation).join(
-        offers.select("offer_id", "offer_type", "channels"), "offer_id", "left"
+    rows = (
+        rollup.withColumn("_paid", exact.merged(F.col("paid_sum"), account))
+        .withColumn("paid_deviation", deviation)
+        .drop("_paid")
     )
-    spent = F.coalesce(F.sum("paid_sum"), F.lit(0.0))
-    rewards = F.coalesce(F.sum("reward_sum"), F.lit(0.0))
+    rows = with_dimension(rows, offers.select("offer_id", "offer_type", "channels"))
+    spent = F.coalesce(exact.total(exact.merged(F.col("paid_sum"))), F.lit(0.0))
+    rewards = F.coalesce(exact.total(exact.merged(F.col("reward_sum"))), F.lit(0.0))
     paid = F.sum("paid_count")
     features = rows.groupBy("account_id").agg(
         F.bool_or(F.col("offer_type").isNotNull()).alias("_typed"),

@@ -22,6 +22,18 @@ def per_offer(offers: DataFrame) -> DataFrame:
     return offers.withColumnsRenamed({"id": "offer_id"})
 
 
+def one_row_per_offer(offers: DataFrame) -> DataFrame:
+    """Channels as an array, from a table in either shape."""
+    offers = per_offer(offers)
+    if offers.schema["channels"].dataType.typeName() == "array":
+        return offers
+    others = [c for c in offers.columns if c not in ("offer_id", "channels")]
+    return offers.groupBy("offer_id").agg(
+        *[F.max(c).alias(c) for c in others],
+        F.array_sort(F.collect_set("channels")).alias("channels"),
+    )
+
+
 def channel_flags(offers: DataFrame) -> DataFrame:
     """has_<channel> flags in place of channels, which may be a name or an array of names."""
     is_array = offers.schema["channels"].dataType.typeName() == "array"

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from offer_engine import config as C
 from offer_engine.config import TIME
 from offer_engine.functions import columns as X
+from offer_engine.functions import exact
 from offer_engine.operators.ordered import value_at_ranks
 
 
@@ -182,7 +183,7 @@ def spend_per_account(events: DataFrame, profile: DataFrame) -> DataFrame:
     """Total of all amounts of each account with a profile; null if it has none."""
     return (
         events.groupBy("account_id")
-        .agg(F.sum("amount").alias("total_amount"))
+        .agg(exact.exact_sum(F.col("amount")).alias("total_amount"))
         .join(profile.select("account_id"), "account_id", "left_semi")
     )
 
@@ -224,11 +225,10 @@ def segment_offer_completion(
         .agg(
             F.max(X.is_event(C.EVENT_RECEIVED)).alias("received"),
             F.max(X.is_event(C.EVENT_COMPLETED)).alias("completed"),
-            F.sum(X.transaction_amount()).alias("spent"),
-        )
-        .withColumn(
-            "total_spent", F.coalesce(F.sum("spent").over(account), F.lit(0.0))
+            exact.sum_of(X.transaction_amount()).alias("spent"),
         )
+        .withColumn("spent", exact.merged(F.col("spent"), account))
+        .withColumn("total_spent", F.coalesce(exact.total(F.col("spent")), F.lit(0.0)))
         .join(aged, "account_id", "left_semi")
     )
     types = offers.filter(F.col("offer_type").isNotNull()).select("offer_id", "offer_type")

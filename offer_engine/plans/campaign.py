@@ -10,6 +10,7 @@ from pyspark import inheritable_thread_target
 from pyspark.ml.regression import RandomForestRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from offer_engine import config as C
 from offer_engine import schemas
@@ -22,10 +23,12 @@ from offer_engine.sources.tables import (
     read_json,
     read_table,
     save_table,
+    scratch,
     shared_folder,
     store,
 )
 
+VERSION = StructField("model_version", IntegerType())
 # Ties of one account's rows are broken by these columns of the training table.
 ROW_ORDER = ("offer_id", "has_web", "has_email", "has_mobile", "has_social")
 
@@ -81,9 +84,9 @@ def customer_features(
     skew: LogSkew | None = None,
     week_length: float = C.WEEK_LENGTH,
 ) -> DataFrame:
-    """One row per account with all feature sets. offers has one row per offer."""
+    """One row per account with all feature sets. offers has one row per offer, or per channel."""
     return features.customer_features(
-        account_offers(events, skew, week_length), profile, offers
+        account_offers(events, skew, week_length), profile, ingest.one_row_per_offer(offers)
     )
 
 
@@ -105,18 +108,20 @@ def train(
 ) -> tuple[Mapping[str, RandomForestRegressionModel], DataFrame]:
     """Fit and evaluate a model per segment; save them where a store is given.
 
-    splits is a stored table with a split column. Returns the models and their metrics.
+    splits is a stored table with a split column. Returns the models and their metrics, with the
+    version that each was saved as (null without a store).
     """
     vectors = features.prepare_features(splits)
     models = forest.train_segments(vectors, segments, params)
     # One row per segment, kept so that reading it does not score the test side again.
     metrics = forest.evaluate_segments(models, vectors)
-    metrics = splits.sparkSession.createDataFrame(metrics.collect(), metrics.schema)
+    found = metrics.collect()
+    versions = {}
     if models_in is not None:
-        by_segment = {r["offer_type"]: r.asDict() for r in metrics.collect()}
+        by_segment = {r["offer_type"]: r.asDict() for r in found}
         for segment, model in models.items():
-            found = by_segment.get(segment, {})
-            models_in.save(
+            tested = by_segment.get(segment, {})
+            versions[segment] = models_in.save(
                 f"rf_model_{segment}",
                 model,
                 {
@@ -125,11 +130,16 @@ def train(
                     "max_depth": params.max_depth,
                     "num_features": len(C.FEATURES),
                 },
-                {f"test_{k}": found.get(k) for k in ("mae", "rmse", "r2")},
+                {f"test_{k}": tested.get(k) for k in ("mae", "rmse", "r2")},
                 list(C.FEATURES),
                 forest.segment_rows(vectors, segment, "train"),
             )
-    return models, metrics
+    # A model without a test row has a version and no metrics.
+    rows = [(*r, versions.get(r["offer_type"])) for r in found]
+    names = len(metrics.columns) - 1
+    rows += [(s, *[None] * names, v) for s, v in versions.items() if s not in {r[0] for r in found}]
+    schema = StructType([*[StructField(f.name, f.dataType) for f in metrics.schema], VERSION])
+    return models, splits.sparkSession.createDataFrame(rows, schema)
 
 
 def saved_models(
@@ -201,7 +211,8 @@ def campaign(
 
     Each step reads the tables of the step before it, so a lost executor repeats one step's
     tasks and never the whole chain. Returns one row per segment: model metrics and version, how
-    many accounts the segment is recommended to, and the area under the uplift curve.
+    many accounts the segment is recommended to, and the area under the uplift curve. Scratch
+    folders are removed when the step that made them is done.
     """
     create_namespace(spark, names)
     # The three inputs do not depend on each other.
@@ -214,7 +225,8 @@ def campaign(
         offers, profile, events = pool.map(
             lambda step: step(), map(inheritable_thread_target(spark), steps)
         )
-    table = save_table(consolidated(events, profile, offers), names.qualified("consolidated"))
+    with scratch():
+        table = save_table(consolidated(events, profile, offers), names.qualified("consolidated"))
     if models_root is None:
         location = spark.catalog.getDatabase(names.namespace).locationUri
         models_root = f"{location.rstrip('/')}/models"
@@ -226,6 +238,19 @@ def uplift_report(
     splits_name: str,
     models_root: str,
     params: C.ForestParams = C.ForestParams(),
+) -> DataFrame:
+    """Splits, models and the report, one row per segment that has accounts, a model or a
+    recommendation: its accounts, metrics on its test rows (null without a model or such rows), the
+    version this run saved, accounts it is recommended to, and the area under the curve."""
+    spark = table.sparkSession
+    with scratch():
+        report = _report(table, splits_name, models_root, params)
+        # A row for each segment, kept so that what it was made from can go.
+        return spark.createDataFrame(report.collect(), report.schema)
+
+
+def _report(
+    table: DataFrame, splits_name: str, models_root: str, params: C.ForestParams
 ) -> DataFrame:
     spark = table.sparkSession
     folder = shared_folder(spark)
@@ -234,11 +259,9 @@ def uplift_report(
     )
     models_in = ModelStore(spark, models_root)
     trained, metrics = train(splits, params, models_in=models_in)
-    loaded = saved_models(models_in, tuple(trained))
-    versions = models_in.latest().select(
-        F.substring_index("model", "rf_model_", -1).alias("offer_type"),
-        F.col("version").alias("model_version"),
-    )
+    # The versions of this run, whatever other runs have saved since.
+    versions = {r["offer_type"]: r["model_version"] for r in metrics.collect()}
+    loaded = saved_models(models_in, tuple(trained), versions)
     recommended = uplift.recommend_offer(
         store(scored_accounts(loaded, table), f"{folder}/scored")
     )
@@ -247,11 +270,13 @@ def uplift_report(
     chosen = recommended.groupBy("recommended_offer").agg(
         F.count(F.lit(1)).alias("recommended_accounts")
     )
-    # One row per segment on every side.
+    accounts = table.na.fill(C.NO_OFFER_TYPE, ["offer_type"]).groupBy("offer_type").agg(
+        F.count_distinct("account_id").alias("accounts")
+    )
+    # One row per segment on every side: all that have accounts, a model, or a recommendation.
     return (
-        metrics.join(chosen, metrics["offer_type"] == chosen["recommended_offer"], "left")
-        .drop("recommended_offer")
-        .na.fill(0, ["recommended_accounts"])
-        .join(versions, "offer_type", "left")
+        metrics.join(chosen.withColumnRenamed("recommended_offer", "offer_type"), "offer_type", "full")
+        .join(accounts, "offer_type", "full")
+        .na.fill(0, ["recommended_accounts", "accounts"])
         .withColumn("auuc", F.lit(evaluation.auuc(curve).first()["auuc"]))
     )

@@ -21,7 +21,7 @@ SAMPLE = 10
 
 @dataclass(frozen=True)
 class ModelStore:
-    """Models as <root>/<name>/v=<n> and one row per saved version in <root>/model_runs."""
+    """Models as <root>/<name>/v=<n> and one row per saved version below <root>/model_runs."""
 
     spark: SparkSession
     root: str
@@ -33,7 +33,8 @@ class ModelStore:
     def runs(self) -> DataFrame:
         """All runs; none where nothing was saved yet."""
         try:
-            return self.spark.read.schema(RUNS_SCHEMA).parquet(self._runs_path)
+            reader = self.spark.read.schema(RUNS_SCHEMA).option("recursiveFileLookup", True)
+            return reader.parquet(self._runs_path)
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -44,6 +45,18 @@ class ModelStore:
         newest = F.max_by(F.struct("version", "path", "params", "metrics", "features"), "version")
         return self.runs().groupBy("model").agg(newest.alias("run")).select("model", "run.*")
 
+    def _claimed(self, name: str, version: int) -> int:
+        """The first free version from this one on, claimed by a file that only one run can make."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        conf = self.spark._jsparkSession.sessionState().newHadoopConf()
+        while True:
+            folder = hadoop.Path(f"{self.root}/{name}")
+            files = folder.getFileSystem(conf)
+            free = not files.exists(hadoop.Path(folder, f"v={version}"))
+            if free and files.createNewFile(hadoop.Path(folder, f"_claim-{version}")):
+                return version
+            version += 1
+
     def save(
         self,
         name: str,
@@ -55,20 +68,14 @@ class ModelStore:
     ) -> int:
         """Write the next version of a model with its parameters, metrics, signature and a sample.
 
-        A version's folder is never overwritten: a run that finds it taken takes the next one.
+        A version is claimed before it is written, and listed when it is complete. A run that finds
+        a version claimed takes the next one, so runs at the same time keep apart.
         The sample is the first SAMPLE training rows by account and offer with their predictions.
         """
         newest = self.runs().filter(F.col("model") == name).agg(F.max("version")).first()[0]
-        version = (newest or 0) + 1
-        while True:
-            path = f"{self.root}/{name}/v={version}"
-            try:
-                model.write().save(path)
-                break
-            except Exception as e:
-                if "already exists" not in str(e):
-                    raise
-                version += 1
+        version = self._claimed(name, (newest or 0) + 1)
+        path = f"{self.root}/{name}/v={version}"
+        model.write().save(path)
         order = [c for c in ("account_id", "offer_id") if c in train.columns]
         first = (train.orderBy(*order) if order else train).limit(SAMPLE)
         sample = model.transform(first.select("features")).select("features", "prediction")
@@ -83,11 +90,23 @@ class ModelStore:
             sample.schema.simpleString(),
             json.dumps(lines),
         )
-        self.spark.createDataFrame([row], RUNS_SCHEMA).write.mode("append").parquet(
-            self._runs_path
+        # A folder of its own: two runs that append to one folder would clear each other's files.
+        self.spark.createDataFrame([row], RUNS_SCHEMA).write.parquet(
+            f"{self._runs_path}/{name}-{version}"
         )
         return version
 
+    def samples(self) -> DataFrame:
+        """The recorded rows of every version: model, version, features and prediction."""
+        kind = "array<struct<features: array<double>, prediction: double>>"
+        lines = F.transform(
+            F.from_json("sample", "array<array<string>>"),
+            lambda x: F.struct(
+                F.from_json(x[0], "array<double>").alias("features"), x[1].cast("double").alias("prediction")
+            ),
+        )
+        return self.runs().select("model", "version", F.inline(lines.cast(kind)))
+
     def load(self, name: str, version: int | None = None) -> RandomForestRegressionModel:
         """A version of a model, by default the newest."""
         runs = self.runs().filter(F.col("model") == name)

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -12,6 +14,62 @@ from pyspark.sql.types import StructType
 from offer_engine.config import TableNames
 
 
+_made: ContextVar[list | None] = ContextVar("made", default=None)
+
+
+class Scratch:
+    """What jobs leave in the shared folder: folders and databases, removed together.
+
+    A job that has stored or collected its result needs none of them any more."""
+
+    def __init__(self) -> None:
+        self._undo: list[Callable[[], object]] = []
+
+    @contextmanager
+    def collecting(self) -> Iterator[None]:
+        """Folders and databases made inside belong to this scratch, not to one around it."""
+        token = _made.set(self._undo)
+        try:
+            yield
+        finally:
+            _made.reset(token)
+
+    def clear(self) -> None:
+        while self._undo:
+            self._undo.pop()()
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Removes at its end what was made inside: store results elsewhere, or collect them."""
+    own = Scratch()
+    try:
+        with own.collecting():
+            yield
+    finally:
+        own.clear()
+
+
+def _remember(undo: Callable[[], object]) -> None:
+    made = _made.get()
+    if made is not None:
+        made.append(undo)
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def temporary_names(spark: SparkSession) -> TableNames:
+    """A database of its own in a new shared folder."""
+    folder = shared_folder(spark)
+    names = TableNames(schema=folder.rsplit("/", 1)[-1].replace("-", "_"))
+    create_namespace(spark, names, folder)
+    _remember(lambda: spark.sql(f"DROP DATABASE IF EXISTS {names.namespace} CASCADE"))
+    return names
+
+
 def read_json(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """JSON lines or one JSON array per line. Without a schema Spark reads the input to infer it."""
     reader = spark.read if schema is None else spark.read.schema(schema)
@@ -60,14 +118,16 @@ def shared_folder(spark: SparkSession) -> str:
     """A new folder that every executor can reach.
 
     It lies in the folder named by spark.checkpoint.dir. Where that is unset, a temporary folder
-    serves a local session only.
+    serves a local session only. Inside `scratch` it is removed at the end.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = tempfile.gettempdir()
-    return f"{root.rstrip('/')}/offer_engine-{uuid.uuid4().hex}"
+    folder = f"{root.rstrip('/')}/offer_engine-{uuid.uuid4().hex}"
+    _remember(lambda: remove_folder(spark, folder))
+    return folder
 
 
 def store(df: DataFrame, folder: str, partition_by: Sequence[str] = ()) -> DataFrame:

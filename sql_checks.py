@@ -359,9 +359,19 @@ SELECT DISTINCT 'rf_model_' || offer_type AS model, 1 AS version, 100 AS num_tre
 FROM splits WHERE split = 'train'""",
     "tlearner_score": f"""WITH {SPLITS}
 SELECT account_id, min(total_spent) AS total_spent, {_IN_RANGE} FROM splits GROUP BY 1""",
-    "campaign_report": f"""WITH {SPLITS}
-SELECT offer_type, count(*) AS n, 1 AS model_version, true AS consistent
+    "evaluate_saved": f"""WITH {SPLITS}
+SELECT offer_type, count(*) AS n, true AS consistent
 FROM splits WHERE split = 'test' AND {_HAS_MODEL} GROUP BY 1""",
+    "recorded_sample": f"""WITH {SPLITS}
+SELECT 'rf_model_' || offer_type AS model, 1 AS version, least(count(*), 10) AS "rows",
+  least(count(*), 10) * len(string_split('{_FOREST_FEATURES}', ',')) AS "values", true AS in_range
+FROM splits WHERE split = 'train' GROUP BY offer_type""",
+    "campaign_report": f"""WITH {SPLITS}
+SELECT offer_type, nullif(count(*) FILTER (WHERE split = 'test' AND {_HAS_MODEL}), 0) AS n,
+  count(DISTINCT account_id) AS accounts,
+  CASE WHEN {_HAS_MODEL} THEN 1 END AS model_version,
+  CASE WHEN count(*) FILTER (WHERE split = 'test' AND {_HAS_MODEL}) > 0 THEN true END AS consistent
+FROM splits GROUP BY 1""",
     "consolidated": f"WITH {CONSOLIDATED} SELECT * FROM consolidated",
     "json_scan": f"WITH {INTERACTIONS} SELECT * FROM interactions",
     "table_roundtrip": f"WITH {INTERACTIONS} SELECT * FROM interactions",

@@ -1,6 +1,7 @@
 """The composite job from JSON files, also for a log without row numbers."""
 
 import json
+from pathlib import Path
 
 import pytest
 
@@ -67,3 +68,53 @@ def test_campaign(spark, raw, names, mode):
     splits = tables.read_table(spark, names.qualified("splits"))
     assert splits.count() == table.count()
     assert set(splits.columns) >= {"offer_type", "split", *C.FEATURES}
+
+
+def folders(spark):
+    root = Path(spark.conf.get("spark.checkpoint.dir"))
+    return sorted(p.name for p in root.glob("offer_engine-*"))
+
+
+def test_jobs_leave_no_scratch_behind(spark, raw, names):
+    before = folders(spark)
+    campaign.campaign(
+        spark, *[str(raw / n) for n in ("offers", "profile", "transactions")], names=names, as_of=AS_OF,
+        params=C.ForestParams(num_trees=2, max_depth=2),
+    ).collect()
+    assert folders(spark) == before
+
+
+def test_scratch_goes_at_its_end_only(spark):
+    before, databases = folders(spark), {d.name for d in spark.catalog.listDatabases()}
+    with tables.scratch():
+        inner = tables.store(spark.range(5), tables.shared_folder(spark))
+        own = tables.temporary_names(spark)
+        tables.save_table(spark.range(3), own.qualified("offers"))
+        assert inner.count() == 5 and len(folders(spark)) == len(before) + 2
+    assert folders(spark) == before
+    assert {d.name for d in spark.catalog.listDatabases()} == databases
+
+
+def test_customer_features_from_offers_in_either_shape(spark, raw, names):
+    events = campaign.ingest_transactions(spark, str(raw / "transactions"), names)
+    people = campaign.ingest_profile(spark, str(raw / "profile"), names, AS_OF)
+    found = []
+    for mode in ("exploded", "per_offer"):
+        stored = campaign.ingest_offers(spark, str(raw / "offers"), names, mode)
+        table = campaign.customer_features(events, people, stored)
+        found.append(sorted(map(str, table.collect())))
+        stored = None
+    assert found[0] == found[1] and found[0]
+
+
+def test_report_has_segments_without_a_model(spark, raw, names, monkeypatch):
+    fit = campaign.forest.train_segments
+    monkeypatch.setattr(
+        campaign.forest, "train_segments", lambda v, s, p: {k: m for k, m in fit(v, s, p).items() if k != "bogo"}
+    )
+    report = campaign.campaign(
+        spark, *[str(raw / n) for n in ("offers", "profile", "transactions")], names=names, as_of=AS_OF,
+        params=C.ForestParams(num_trees=2, max_depth=2),
+    )
+    lines = {r.offer_type: r for r in report.collect()}
+    assert lines["bogo"].accounts > 0 and lines["bogo"].model_version is None and lines["bogo"].mae is None

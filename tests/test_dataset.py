@@ -90,3 +90,28 @@ def test_enriched_events_keep_event_grain(spark):
 def test_empty_log(spark):
     events, profiles, offer_rows = inputs(spark)
     assert campaign.consolidated(events.limit(0), profiles, offer_rows).count() == 0
+
+
+def test_a_counted_dimension(spark):
+    rows = spark.createDataFrame(
+        [(i, None if i % 3 == 0 else "no offer" if i % 3 == 1 else str(i % 7)) for i in range(60)],
+        "account_id int, offer_id string",
+    )
+    offers = spark.createDataFrame([(str(i), f"t{i}") for i in range(5)], "offer_id string, offer_type string")
+    few, many = dataset.with_dimension(rows, offers), dataset.with_dimension(rows, offers, few=2)
+    assert sorted(map(str, few.collect())) == sorted(map(str, many.select(*few.columns).collect()))
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(offer_id" not in plan
+    assert few.filter("offer_type is not null").count() == sum(
+        1 for r in rows.collect() if r.offer_id in {"0", "1", "2", "3", "4"}
+    )
+
+
+def test_only_rows_with_an_offer_are_shuffled_by_it(spark, monkeypatch):
+    rows = spark.createDataFrame([(1, "no offer"), (2, "a")], "account_id int, offer_id string")
+    offers = spark.createDataFrame([("a", "x"), ("b", "y"), ("c", "z")], "offer_id string, offer_type string")
+    many = dataset.with_dimension(rows, offers, few=2)
+    plan = many._jdf.queryExecution().optimizedPlan().toString()
+    kept = [line for line in plan.splitlines() if "Filter" in line]
+    assert any("NOT" in line and "no offer" in line for line in kept)
+    assert any("isnull" in line and "no offer" in line for line in kept)

@@ -1,4 +1,5 @@
 import json
+from multiprocessing.pool import ThreadPool
 import random
 
 import pytest
@@ -144,3 +145,22 @@ def test_versions_add_up_and_saved_models_are_evaluated(spark, splits, tmp_path)
 
 def test_no_model_scores_nothing(splits):
     assert forest.score_own_segment({}, campaign.prepared(splits)).count() == 0
+
+
+def test_two_runs_at_once_report_their_own_versions(spark, splits, tmp_path):
+    root = str(tmp_path / "models")
+
+    def run(trees):
+        params = C.ForestParams(num_trees=trees, max_depth=2)
+        _, metrics = campaign.train(splits, params, models_in=ModelStore(spark, root))
+        return {r.offer_type: r.model_version for r in metrics.collect()}
+
+    with ThreadPool(2) as pool:
+        first, second = pool.map(run, (2, 3))
+    assert first.keys() == second.keys()
+    assert all({first[s], second[s]} == {1, 2} for s in first)
+    store = ModelStore(spark, root)
+    for trees, versions in ((2, first), (3, second)):
+        loaded = campaign.saved_models(store, tuple(versions), versions)
+        assert {m.getNumTrees for m in loaded.values()} == {trees}
+    assert store.samples().count() > 0

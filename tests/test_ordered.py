@@ -107,3 +107,16 @@ def test_value_at_ranks_only_sorts_the_buckets_it_needs(spark):
     assert {r.q: r.v for r in out.collect()} == {
         "lo": scores[math.ceil(0.1 * 3000) - 1], "hi": scores[math.ceil(0.9 * 3000) - 1]
     }
+
+
+@pytest.mark.parametrize("descending", [True, False])
+def test_no_bucket_above_the_bound(spark, descending):
+    random.seed(4)
+    scores = [math.inf if i % 3 == 0 else 7.5 if i % 5 == 0 else random.gauss(0, 1) for i in range(6000)]
+    rows = [(f"k{i}", s, 1.0) for i, s in enumerate(scores)]
+    df = table(spark, rows)
+    options = {"descending": descending, "buckets": 4, "tie_slices": 2, "bucket_rows": 60}
+    placed = ordered.into_buckets(df, "score", "id", **options)
+    assert placed.offsets().agg(F.max("_size")).first()[0] <= 60
+    got = {r.id: r["rank"] for r in ordered.global_rank(df, "score", "id", **options).collect()}
+    assert got == {r[0]: i + 1 for i, r in enumerate(sorted(rows, key=order_key(descending)))}

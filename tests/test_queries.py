@@ -13,7 +13,10 @@ SF = "/root/testdata/sf0.001"
 # Queries of parts that can be taken out have tests of their own.
 QUERIES = {k: q for k, q in registry.queries().items() if not re.match(r"op\d+_|pipeline$", k)}
 ORACLE = {k: q for k, q in registry.oracle_sql().items() if k in QUERIES}
-FORESTS = ("train_forest", "train_segments", "model_runs", "tlearner_score", "campaign_report")
+FORESTS = (
+    "train_forest", "train_segments", "model_runs", "evaluate_saved", "recorded_sample", "tlearner_score",
+    "campaign_report",
+)
 
 
 @pytest.fixture(scope="module")
@@ -53,8 +56,9 @@ def test_entry(spark):
 
 
 def test_explicit_broadcasts_hold_bounded_tables_only():
-    """Broadcast hints: the bucket table of ordered.py and the cut points of heavy instants."""
+    """Broadcast hints: the tables of buckets and of cuts in ordered.py, the cut points of heavy
+    instants, and offers after they have been counted."""
     root = Path(registry.__file__).parent / "offer_engine"
     own = [p for p in root.rglob("*.py") if p.parent.name != "llm"]
     hinted = {p.name for p in own if "F.broadcast(" in p.read_text()}
-    assert hinted == {"ordered.py", "attribution.py"}
+    assert hinted == {"ordered.py", "attribution.py", "dataset.py"}
