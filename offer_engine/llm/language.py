@@ -51,7 +51,9 @@ not_letters = re.compile(r"[\W\d_]+")
 
 def letters(chunk: str) -> str:
     """The letters of a chunk between white space, in lower case."""
-    return chunk.lower() if chunk.isalpha() else not_letters.sub("", chunk.lower())
+    found = chunk.lower() if chunk.isalpha() else not_letters.sub("", chunk.lower())
+    # Fractions, raised and circled numbers are word characters, but no letters.
+    return found if not found or found.isalpha() else "".join(filter(str.isalpha, found))
 
 
 def features(words: Sequence[str], size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -356,7 +358,7 @@ def training_sample(docs: DataFrame, text: str, lang: str, key: str, windows: in
                 chunks = text.split()
                 at = h % max(1, len(chunks) - WINDOW_WORDS + 1)
                 words = [w for w in map(letters, chunks[at : at + WINDOW_WORDS]) if w]
-                out.append((lang, h, [w[:100] for w in words]))
+                out.append((lang, h, words))
             yield pa.RecordBatch.from_pydict(
                 {
                     "lang": pa.array([o[0] for o in out], pa.string()),

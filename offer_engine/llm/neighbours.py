@@ -203,17 +203,18 @@ def best_of_cell(near: int):
             return pd.DataFrame({n: [] for n in names}).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
         rows = rows.sort_values("id", kind="stable")
         ids, x = rows["id"].to_numpy(), np.stack(rows["vector"].to_list())
+        first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
         out = []
         for q, v, bound in zip(queries["id"], queries["vector"], queries["bound"], strict=True):
             far = np.sqrt(((x - v) ** 2).sum(1))
             far[(ids == q) | (far > bound)] = np.inf
-            most = min(2 * near, len(far))
+            # The least distance of each id, then the nearest ids.
+            far = np.minimum.reduceat(far, first)
+            most = min(near, len(far))
             limit = np.partition(far, most - 1)[most - 1]
             at = np.flatnonzero((far <= limit) & np.isfinite(far))
-            at = at[np.argsort(far[at], kind="stable")]
-            _, firsts = np.unique(ids[at], return_index=True)
-            at = at[np.sort(firsts)][:near]
-            out.append(pd.DataFrame({"query_id": q, "vec_id": ids[at], "score": far[at]}))
+            at = at[np.argsort(far[at], kind="stable")][:near]
+            out.append(pd.DataFrame({"query_id": q, "vec_id": ids[first][at], "score": far[at]}))
         return pd.concat(out)
 
     return work
@@ -233,14 +234,15 @@ def visited(queries: DataFrame, index: DataFrame, sizes: list[int], near: int) -
     )
     cells = F.broadcast(cells)  # MOST_LEAVES rows or few more
     every = lambda parts: F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
-    mine = lambda parts: F.pmod(F.xxhash64("id"), F.col(parts)).cast("int")
+    mine = lambda parts, *by: F.pmod(F.xxhash64("id", *by), F.col(parts)).cast("int")
     left = (
         queries.select("id", "vector", "bound", F.explode("leaves").alias("leaf"))
         .join(cells, "leaf")
         .withColumn("q", mine("query_parts"))
         .withColumn("r", every("row_parts"))
     )
-    right = index.join(cells, "leaf").withColumn("r", mine("row_parts"))
+    # An id may have any number of rows, so they are dealt by their own number as well.
+    right = index.join(cells, "leaf").withColumn("r", mine("row_parts", "at"))
     right = right.withColumn("q", every("query_parts"))
     keys = ["leaf", "r", "q"]
     return (
@@ -275,25 +277,30 @@ def search(
         F.col(f"`{vector}`").cast("array<double>").alias("vector"),
         is_query.alias("asks"),
     ).filter(F.col("id").isNotNull() & usable(F.col("vector")))
+    rows = rows.withColumn("at", F.monotonically_increasing_id())
     lengths = rows.groupBy(F.size("vector").alias("n")).count()
     length = lengths.orderBy(F.desc("count"), "n").first()
     if length is None:
         return table.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     total = length["count"]
     rows = rows.filter(F.size("vector") == length["n"])
-    unit = (F.xxhash64("id") / F.lit(2.0**64)) + 0.5
-    share = min(1.0, 1.1 * sample_rows / total)
-    picked = rows.filter(unit < share).select("id", "vector").limit(sample_rows).toPandas()
+    # About sample_rows rows, drawn by row: an id with many rows has its share of them.
+    unit = (F.xxhash64("id", "at") / F.lit(2.0**64)) + 0.5
+    picked = rows.filter(unit < min(1.0, sample_rows / total)).select("id", "vector").toPandas()
+    if picked.empty:
+        picked = rows.select("id", "vector").limit(1).toPandas()
     x = np.stack(picked.sort_values("id", kind="stable")["vector"].to_list())
     leaves = max(1, min(MOST_LEAVES, total // leaf_rows))
     tree = fit_tree(x, max(1.0, len(x) / leaves))
     visits = calibrated(tree, x, near, recall, CALIBRATION)
 
-    index = stored(in_leaves(rows.select("id", "vector"), tree))
-    counts = {r["leaf"]: r["count"] for r in index.groupBy("leaf").count().collect()}  # bounded
-    sizes = [counts.get(i, 0) for i in range(tree.leaves)]
+    index = stored(in_leaves(rows.select("id", "vector"), tree).withColumn("at", F.monotonically_increasing_id()))
+    by_leaf = index.groupBy("leaf", "id").count().groupBy("leaf")
+    counts = {r["leaf"]: r for r in by_leaf.agg(F.sum("count").alias("rows"), F.count("id").alias("ids")).collect()}
+    sizes = [counts[i]["rows"] if i in counts else 0 for i in range(tree.leaves)]
+    distinct = [counts[i]["ids"] if i in counts else 0 for i in range(tree.leaves)]
     asked = rows.filter("asks").groupBy("id").agg(F.min("vector").alias("vector"))
-    asked = stored(with_visits(asked, tree, sizes, visits, near))
+    asked = stored(with_visits(asked, tree, distinct, visits, near))
     first = F.slice("leaves", 1, FIRST)
     rest = F.slice("leaves", FIRST + 1, F.greatest(F.size("leaves"), F.lit(1)))
     start = asked.select("id", "vector", F.lit(float("inf")).alias("bound"), first.alias("leaves"))
@@ -304,5 +311,15 @@ def search(
     after = asked.join(bounds, "id", "left").select(
         "id", "vector", F.coalesce("bound", F.lit(float("inf"))).alias("bound"), rest.alias("leaves")
     )
-    found = near_ones.unionByName(visited(stored(after), index, sizes, near))
-    return top(found, near).select("query_id", "rank", "vec_id", "score")
+    found = stored(top(near_ones.unionByName(visited(stored(after), index, sizes, near)), near))
+    # Ids with rows in many leaves can fill a query's leaves: such a query visits all leaves.
+    others = index.select("id").distinct().count() - 1
+    have = found.groupBy(F.col("query_id").alias("id")).agg(F.count(F.lit(1)).alias("n"))
+    short = asked.join(have, "id", "left").filter(F.coalesce("n", F.lit(0)) < min(near, others))
+    if not short.isEmpty():
+        everywhere = short.select(
+            "id", "vector", F.lit(float("inf")).alias("bound"),
+            F.array(*map(F.lit, range(tree.leaves))).cast("array<int>").alias("leaves"),
+        )
+        found = top(found.drop("rank").unionByName(visited(stored(everywhere), index, sizes, near)), near)
+    return found.select("query_id", "rank", "vec_id", "score")

@@ -39,8 +39,9 @@ END = 2
 SHARD_TOKENS = 1 << 19
 KEY_BITS = 14
 K1, B = 1.2, 0.75
-#: Chunks of each generation whose tokens a worker remembers.
-CACHE = 100_000
+#: Bytes of each generation of chunks and their tokens that a worker remembers, and a chunk's own share.
+REMEMBERED = 48_000_000
+ENTRY = 150
 #: Tokens that a task hands on at once.
 BATCH_TOKENS = 1 << 20
 
@@ -60,7 +61,6 @@ def encoder(vocabulary: str, code: str) -> Callable[[str], bytes]:
     from tokenizers import Tokenizer
 
     full = Tokenizer.from_str(vocabulary)
-    full.encode_special_tokens = True
     plan = json.loads(vocabulary)
     kinds = [n["type"] for n in (plan.get("normalizer") or {}).get("normalizers", [])]
     steps = (plan.get("pre_tokenizer") or {}).get("pretokenizers", [])
@@ -74,6 +74,9 @@ def encoder(vocabulary: str, code: str) -> Callable[[str], bytes]:
         return lambda text: array(code, full.encode(text, add_special_tokens=False).ids).tobytes()
     pieces = regex.compile(steps[0]["pattern"]["Regex"]).findall
     model = full.model
+    # Special tokens stand for themselves wherever their text is; it holds no white space.
+    contents = [re.escape(t["content"]) for t in plan.get("added_tokens") or []]
+    special = re.compile("|".join(contents) or "(?!)").search
     # Byte-level BPE writes bytes as letters: printable ones as themselves, the rest from 256 on.
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     hidden = [b for b in range(256) if b not in set(shown)]
@@ -87,15 +90,17 @@ def encoder(vocabulary: str, code: str) -> Callable[[str], bytes]:
     # that is full the older one goes.
     new: dict[str, bytes] = {}
     old: dict[str, bytes] = {}
+    size = 0
 
     def remembered(chunk: str, make: Callable[[str], bytes]) -> bytes:
-        nonlocal new, old
+        nonlocal new, old, size
         found = old.get(chunk)
         if found is None:
             found = make(chunk)
-        if len(new) >= CACHE:
-            old, new = new, {}
+        if size > REMEMBERED:
+            old, new, size = new, {}, 0
         new[chunk] = found
+        size += ENTRY + len(chunk) + len(found)
         return found
 
     def of_piece(piece: str) -> bytes:
@@ -104,7 +109,7 @@ def encoder(vocabulary: str, code: str) -> Callable[[str], bytes]:
         return array(code, [t.id for t in model.tokenize(piece)]).tobytes()
 
     def of_chunk(chunk: str) -> bytes:
-        if not latin(chunk):
+        if not latin(chunk) or special(chunk):
             return array(code, full.encode(chunk, add_special_tokens=False).ids).tobytes()
         found = pieces(normal("NFC", chunk).lower())
         if found == [chunk]:

@@ -114,3 +114,10 @@ def test_every_one_of_forty_languages_is_learned(spark):
     got = language.identify(table(spark, rows)).collect()
     assert {r.lang_pred for r in got} == set(lang.values())
     assert np.mean([r.lang_pred == lang[r.doc_id] for r in got if r.held_out]) > 0.95
+
+
+def test_numbers_that_are_word_characters_are_no_letters(spark):
+    assert [language.letters(c) for c in ("½", "²a", "①", "Straße!", "x_1y", "é")] == ["", "a", "", "straße", "xy", "é"]
+    rows = [(i, "one two three", "en", "a", 0) for i in range(20)] + [(100, "½ ² ①", "en", "a", 0)]
+    got = {r.doc_id: r for r in language.identify(table(spark, rows)).collect()}
+    assert (got[100].lang_pred, got[100].score) == ("und", 0.0)

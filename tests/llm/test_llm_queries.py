@@ -1,15 +1,17 @@
 """Each registered query of the operators against its SQL, and the pipeline against plain Python."""
 
+import random
 import sys
 from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
 import corpus_pipeline
-from offer_engine.llm import exact_dedup, language, near_duplicates
+from offer_engine.llm import exact_dedup, near_duplicates
 from offer_engine.llm.queries import ORACLE, QUERIES
 from tests.llm.edges import edge_rows, table, words
 
@@ -21,7 +23,8 @@ def test_like_sql(spark, name):
     got = QUERIES[name](spark, SF)
     names = sorted(got.columns)
     con = duckdb.connect()
-    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for file in Path(SF).glob("*.parquet"):
+        con.sql(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
     want = con.sql(ORACLE[name]).select(*[f'"{n}"' for n in names]).fetchall()
     rounded = lambda rows: sorted(repr([round(x, 6) if isinstance(x, float) else x for x in r]) for r in rows)
     assert rounded(got.select(*names).collect()) == rounded(want)
@@ -52,8 +55,7 @@ def test_pipeline_ends_where_its_parts_do(spark):
     pieces = corpus_pipeline.run(spark, SF)
     got = {r.doc_id for r in pieces.select("doc_id").distinct().collect()}
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    spoken = language.identify(docs).filter("lang_pred <> 'und' and score >= 0.5")
-    spoken = spoken.drop("lang_pred", "score", "held_out")
+    spoken = corpus_pipeline.language_id(spark, docs, SF)
     one = near_duplicates.one_of_each(exact_dedup.without_copies(spoken))
     assert got <= {r.doc_id for r in one.select("doc_id").collect()}
     assert len(corpus_pipeline.STAGES) == 5
@@ -62,3 +64,33 @@ def test_pipeline_ends_where_its_parts_do(spark):
 def test_empty_pipeline(spark, tmp_path):
     table(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_first_stage_keeps_clean_documents(spark):
+    """Code-switched, short and held-out texts stay; junk goes. Without labels, words decide."""
+    rng = random.Random(1)
+    tongues = {k: [f"{k}{i}{k[::-1]}" for i in range(40)] for k in ("ab", "cd", "ef")}
+    text = lambda k, n: " ".join(rng.choice(tongues[k]) for _ in range(n))
+    rows = [(i, text(k, 40), k, "a", 0) for i in range(300) for k in [rng.choice(list(tongues))]]
+    clean = [(1000 + i, f"{text('ab', 8)} {text('cd', 6)} {text('ef', 6)}", None, "a", 0) for i in range(20)]
+    clean += [(1100 + i, text("ab", 1), None, "a", 0) for i in range(10)]
+    junk = [(2000, "12 34 -- ## 5", "ab", "a", 0), (2001, "½ ² ①", "ab", "a", 0), (2002, None, "ab", "a", 0)]
+    junk += [(2003, "= = = = x", "ab", "a", 0), (2004, "", "cd", "a", 0)]
+    docs = table(spark, rows + clean + junk)
+    wanted = {r[0] for r in rows + clean}
+    assert {r.doc_id for r in corpus_pipeline.language_id(spark, docs, SF).collect()} == wanted
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert {r.doc_id for r in corpus_pipeline.language_id(spark, unlabelled, SF).collect()} == wanted
+
+
+def test_stages_remove_what_earlier_ones_stored(spark, tmp_path):
+    docs = table(spark, [(i, words(i % 20, 60, 300), "en", "a", 0) for i in range(60)])
+    root = Path(spark.conf.get("spark.checkpoint.dir"))
+    corpus_pipeline.exact(spark, table(spark, []), SF)
+    before = {p.name for p in root.glob("offer_engine-*")}
+    for n, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, SF).write.parquet(f"{tmp_path}/{n}")
+        if n < len(corpus_pipeline.STAGES) - 1:
+            docs = spark.read.parquet(f"{tmp_path}/{n}")
+    corpus_pipeline.language_id(spark, table(spark, []), SF)
+    assert len({p.name for p in root.glob("offer_engine-*")}) <= len(before)

@@ -86,3 +86,21 @@ def test_edges(spark):
 def test_empty(spark):
     assert found(spark.createDataFrame([], KINDS)) == {}
     assert found(spark.createDataFrame([(20, [0.0], 1)], KINDS)) == {}
+
+
+def test_one_id_on_many_rows_leaves_room_for_the_others(spark):
+    """An id with 50 rows near the query, and one with a third of all rows."""
+    rng = np.random.default_rng(3)
+    for copies, others in ((50, 28), (700, 1400)):
+        query = np.ones(4)
+        rows = [(0, query.tolist())]
+        rows += [(1, (query + 0.001 * rng.standard_normal(4)).tolist()) for _ in range(copies)]
+        rows += [(i, (query + 3 * rng.standard_normal(4)).tolist()) for i in range(2, 2 + others)]
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        got = neighbours.search(df, F.col("vec_id") == 0, leaf_rows=20, sample_rows=500).orderBy("rank").collect()
+        assert len(got) == 10 and got[0].vec_id == 1 and len({r.vec_id for r in got}) == 10
+        least = {}
+        for i, v in rows[1:]:
+            least[i] = min(least.get(i, np.inf), float(np.sqrt(((np.array(v) - query) ** 2).sum())))
+        want = sorted(least, key=lambda i: (least[i], i))[:10]
+        assert len({r.vec_id for r in got} & set(want)) >= 9

