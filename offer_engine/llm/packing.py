@@ -40,7 +40,7 @@ SHARD_TOKENS = 1 << 19
 KEY_BITS = 14
 K1, B = 1.2, 0.75
 #: Bytes of each generation of chunks and their tokens that a worker remembers, and a chunk's own share.
-REMEMBERED = 48_000_000
+REMEMBERED = 80_000_000
 ENTRY = 150
 #: Tokens that a task hands on at once.
 BATCH_TOKENS = 1 << 20
