@@ -1,21 +1,23 @@
 """Chat formatting: calls of tools linked with their results, put in order, checked, serialised.
 
 Events are calls and results that name a call by an identifier within a conversation. They are
-hash-joined by it; calls are put in topological order of the calls they need, by rounds of joins
-(Kahn's algorithm: a round places the calls whose needs are all placed); arguments are validated
-against the schema of their tool; each call becomes one line of canonical JSON (keys sorted, no
-white space, one form for each number). A conversation is never gathered: its lines are numbered
-by running sums, so one of any length is many tasks' work.
-
-Rounds go on until nothing more can be placed, so their number is the depth of the deepest call.
-
-Edge cases, told apart by `status`: `linked`; `no_result`; `no_call`, a result whose call is
-missing; `no_id`, an event without identifier, linked to nothing; `cycle`, a call in a circle of
-needs or behind one, placed last. Of several calls (results) of one identifier the first by
-position, then by text, is taken and `copies` counts all. Needs that no call meets are counted in
+hash-joined by it; calls are put in topological order of the calls they need; arguments are
+validated against the schema of their tool; each call becomes one line of canonical JSON (keys
+sorted, no white space, one form for each number). Calls with one need form chains, whose depths
+come from pointer doubling (rounds in the logarithm of the longest chain); rounds of Kahn's
+algorithm place only the calls with several needs, so their number is how many of those lie behind
+one another. A conversation is never gathered: its lines are numbered by running sums over buckets
+of about equal size, so one of any length is many tasks' work.
+
+No event is lost: the sum of `copies` (rows of the call, or of the event itself) and
+`result_copies` (rows of its result) over all lines is the number of events. `status` tells apart:
+`linked`; `no_result`; `no_call`, a result whose call is missing; `no_id`, a call or result without
+identifier, linked to nothing; `cycle`, a call in a circle of needs or behind one; `conflict`, a
+call (result) whose identifier an earlier one of another content has: the first by position, then by
+text, is linked; `other`, an event of another or no kind, with its name and content. Lines without a
+level come last. Rows of equal content are one line. Needs that no call meets are counted in
 `missing` and don't hold a call up. Null and empty texts are kept as null and empty. A null
-conversation is one of its own. Events of another kind are left out. An empty table gives an empty
-one.
+conversation is one of its own. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -29,14 +31,23 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from offer_engine.llm.common import running, ship, stored
+from offer_engine.llm.common import running, ship, small, stored
 
 EVENT = "conv_id, position, kind, call_id, name, arguments, needs, content"
 LINE = (
     "conv_id long, place long, level int, position long, call_id string, name string,"
-    " status string, copies int, missing int, valid boolean, errors array<string>, json string"
+    " status string, copies int, result_copies int, missing int, valid boolean, errors array<string>, json string"
 )
 
+#: Lines of a conversation, or of one depth in it, up to which they are ordered in one task, and
+#: the buckets of about equal size that more are cut into.
+LARGE = 100_000
+CUTS = 512
+#: Large groups up to which their cuts are broadcast.
+CUT_GROUPS = 1000
+#: Rounds after which the table of placed calls is stored anew.
+STORE_ROUNDS = 8
+
 Json = None | bool | int | float | str | list | dict
 
 
@@ -148,6 +159,8 @@ def serialised(schemas: Mapping[str, Mapping]):
                     line["needs"] = sorted(set(row["needs"] or []) - {None})
                 if row["has_result"]:
                     line["result"] = row["content"]
+                if row["status"] == "other":
+                    line |= {"name": row["name"], "content": row["content"]}
                 valid.append(bool(row["is_call"]) and not wrong)
                 errors.append(wrong)
                 lines.append(canonical(line))
@@ -167,12 +180,51 @@ def serialised(schemas: Mapping[str, Mapping]):
     return work
 
 
-def first_of(events: DataFrame, *columns: str) -> DataFrame:
-    """One row per identifier: the first event by position, then by text, and their number."""
-    place = F.struct(F.col("position").isNull().alias("late"), "position", *columns)
-    return events.groupBy("scope", "call_id").agg(
-        F.min(place).alias("first"), F.count(F.lit(1)).cast("int").alias("copies")
+def first_of(events: DataFrame, *columns: str) -> tuple[DataFrame, DataFrame]:
+    """One row per identifier, the first content by position, then by text, with its copies; and
+    the other contents."""
+    first = F.min(F.struct("late", "position", *columns, "copies")).alias("first")
+    rows = events.groupBy("scope", "conv_id", "call_id", *columns).agg(
+        F.min("position").alias("position"), F.sum("copies").cast("int").alias("copies")
+    )
+    rows = stored(rows.withColumn("late", F.col("position").isNull()))
+    found = rows.groupBy("scope", "call_id").agg(
+        first, F.min("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("contents")
+    )
+    found = stored(found)
+    taken = found.select("scope", "conv_id", "call_id", "first.*").drop("late")
+    shared = found.filter("contents > 1").select("scope", "call_id", "first")
+    own = F.struct("late", "position", *columns, "copies")
+    others = rows.join(shared, ["scope", "call_id"]).filter(~own.eqNullSafe(F.col("first")))
+    return taken, others.drop("first", "late")
+
+
+def chains(state: DataFrame) -> DataFrame:
+    """id, head, steps and known of all calls: the call that its chain of single needs ends at, how
+    far off that is, and whether the chain ends at all."""
+    alone = F.col("open") == 1
+    chain = stored(
+        state.select(
+            "id",
+            F.when(alone, F.col("up")).otherwise(F.col("id")).alias("head"),
+            alone.cast("long").alias("steps"),
+            (~alone).alias("known"),
+        )
     )
+    before, left = -1, chain.filter("not known").count()
+    # Every round doubles the steps; while a chain that ends is unknown, some become known.
+    while left and left != before:
+        ahead = chain.select(
+            F.col("id").alias("head"),
+            F.col("head").alias("next"),
+            F.col("steps").alias("more"),
+            F.col("known").alias("ends"),
+        )
+        further = chain.filter("not known").join(ahead, "head")
+        further = further.selectExpr("id", "next AS head", "steps + more AS steps", "ends AS known")
+        chain = stored(chain.filter("known").unionByName(further))
+        before, left = left, chain.filter("not known").count()
+    return chain
 
 
 def levels(calls: DataFrame) -> DataFrame:
@@ -180,31 +232,91 @@ def levels(calls: DataFrame) -> DataFrame:
     ids = calls.select("id")
     edges = calls.select("id", F.explode(F.array_distinct("needs")).alias("need"))
     edges = stored(edges.join(ids.select(F.col("id").alias("need")), "need", "left_semi"))
-    counts = edges.groupBy("id").agg(F.count(F.lit(1)).alias("open"))
+    counts = edges.groupBy("id").agg(F.count(F.lit(1)).alias("open"), F.min("need").alias("up"))
     state = stored(
-        ids.join(counts, "id", "left").select("id", F.coalesce("open", F.lit(0)).alias("open"))
+        ids.join(counts, "id", "left").select("id", F.coalesce("open", F.lit(0)).alias("open"), "up")
     )
-    done = stored(state.filter("open = 0").select("id", F.lit(0).alias("level")))
-    waiting = stored(state.filter("open > 0"))
-    fresh, level = done, 0
-    while not fresh.isEmpty() and not waiting.isEmpty():
-        level += 1
-        met = edges.join(fresh.select(F.col("id").alias("need")), "need").groupBy("id")
-        met = met.agg(F.count(F.lit(1)).alias("met"))
-        now = stored(
-            waiting.join(met, "id", "left").select(
-                "id", (F.col("open") - F.coalesce("met", F.lit(0))).alias("open")
-            )
+    chain = chains(state)
+    ended = chain.filter("known").select("id", "head", "steps")
+
+    # Calls of several needs wait for the heads that the chains of their needs end at.
+    waiting = stored(state.filter("open > 1").select("id", "open", F.lit(0).cast("long").alias("level")))
+    fresh = done = state.filter("open = 0").select(F.col("id").alias("head"), F.lit(0).cast("long").alias("level"))
+    behind = edges.join(waiting.select("id"), "id", "left_semi")
+    behind = behind.join(ended.withColumnRenamed("id", "need"), "need").select("id", "head", "steps")
+    rounds = 0
+    if not waiting.isEmpty():
+        behind = stored(behind)
+    while not waiting.isEmpty() and not fresh.isEmpty():
+        met = behind.join(fresh, "head").groupBy("id").agg(
+            F.count(F.lit(1)).alias("met"), F.max(F.col("level") + F.col("steps") + 1).alias("least")
+        )
+        now = waiting.join(met, "id", "left").select(
+            "id",
+            (F.col("open") - F.coalesce("met", F.lit(0))).alias("open"),
+            F.greatest("level", F.coalesce("least", F.lit(0))).alias("level"),
         )
-        fresh = now.filter("open = 0").select("id", F.lit(level).alias("level"))
+        now = stored(now)
+        fresh = now.filter("open = 0").select(F.col("id").alias("head"), "level")
         waiting = now.filter("open > 0")
         done = done.unionByName(fresh)
-    return done
+        rounds += 1
+        if rounds % STORE_ROUNDS == 0:
+            done = stored(done)
+    return ended.join(done, "head").select("id", (F.col("level") + F.col("steps")).cast("int").alias("level"))
+
+
+def cut_code(value: Column, cuts: Column) -> Column:
+    """Number of the bucket that the cuts place a value in, with buckets of their own for values
+    that are cuts (odd numbers); 0 without cuts."""
+    below = F.size(F.filter(cuts, lambda c: c < value))
+    return F.coalesce(2 * below + F.array_contains(cuts, value).cast("int"), F.lit(0))
+
+
+def with_cuts(lines: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
+    """lines with the number of the bucket of `value` among those of the same keys, where these
+    hold more than LARGE lines."""
+    large = stored(lines.groupBy(*keys).count().filter(F.col("count") > LARGE).drop("count"))
+    if large.isEmpty():
+        return lines.withColumn(out, F.lit(0))
+    shares = [i / CUTS for i in range(1, CUTS)]
+    large = small(large, CUT_GROUPS)
+    cuts = lines.join(large, keys, "left_semi").groupBy(*keys)
+    cuts = stored(cuts.agg(F.array_distinct(F.percentile_approx(value, shares)).alias("_cuts")))
+    found = lines.join(small(cuts, CUT_GROUPS), keys, "left")
+    return found.withColumn(out, cut_code(F.col(value), F.col("_cuts"))).drop("_cuts")
+
+
+def numbered(lines: DataFrame) -> DataFrame:
+    """lines with their place in their conversation: by level, position and, where these are equal,
+    a hash of the line."""
+    text = ["call_id", "name", "arguments", "content", "status"]
+    lines = stored(
+        lines.withColumns(
+            {
+                "depth": F.coalesce("level", F.lit(2**31 - 1)).cast("long"),
+                "near": F.coalesce("position", F.lit(2**63 - 1)),
+                "tie": F.xxhash64(*text),
+                "one": F.lit(1),
+            }
+        )
+    )
+    lines = with_cuts(lines, ["scope"], "depth", "depth_cut")
+    lines = with_cuts(lines, ["scope", "depth_cut"], "near", "near_cut")
+    # Cuts of positions tell levels apart only where a bucket holds one level.
+    alone = F.col("depth_cut") % 2 == 1
+    near = F.when(alone, F.col("near_cut")).otherwise(0)
+    tie = F.when(near % 2 == 1, F.shiftright("tie", 55)).otherwise(0)
+    bucket = F.struct("depth_cut", near.alias("near"), tie.alias("tie"))
+    lines = stored(lines.withColumn("bucket", bucket).drop("depth_cut", "near_cut"))
+    order: list[Column | str] = ["depth", F.col("position").asc_nulls_last(), "tie", *text]
+    return running(lines, ["scope"], "bucket", order, "one", "place")
 
 
 def linked_calls(events: DataFrame, schemas: Mapping[str, Mapping]) -> DataFrame:
-    """One row per call, and per result without one, of events (conv_id, position, kind, call_id,
-    name, arguments, needs, content): LINE's columns. place counts from 0 in a conversation."""
+    """One row per call, and per result without one or other event, of events (conv_id, position,
+    kind, call_id, name, arguments, needs, content): LINE's columns. place counts from 0 in a
+    conversation."""
     ship(events.sparkSession)
     scope = F.when(F.col("conv_id").isNull(), "null").otherwise(
         F.concat(F.lit("="), F.col("conv_id").cast("string"))
@@ -218,24 +330,19 @@ def linked_calls(events: DataFrame, schemas: Mapping[str, Mapping]) -> DataFrame
         *[F.col(c).cast("string").alias(c) for c in ("name", "arguments", "content")],
         F.col("needs").cast("array<string>").alias("needs"),
     )
+    rows = stored(rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).cast("int").alias("copies")))
     named = rows.filter("call_id is not null")
-    calls = first_of(named.filter("kind = 'call'"), "conv_id", "name", "arguments", "needs")
-    results = first_of(named.filter("kind = 'result'"), "conv_id", "content")
-    calls = calls.select(
-        "scope",
-        "call_id",
-        F.lit(True).alias("is_call"),
-        "copies",
-        *[F.col(f"first.{c}").alias(c) for c in ("conv_id", "position", "name", "arguments", "needs")],
-    )
+    calls, other_calls = first_of(named.filter("kind = 'call'"), "name", "arguments", "needs")
+    results, other_results = first_of(named.filter("kind = 'result'"), "content")
+    calls = calls.withColumn("is_call", F.lit(True))
     results = results.select(
         "scope",
         "call_id",
         F.lit(True).alias("has_result"),
         F.col("copies").alias("result_copies"),
-        F.col("first.conv_id").alias("result_conv"),
-        F.col("first.position").alias("result_position"),
-        F.col("first.content").alias("content"),
+        F.col("conv_id").alias("result_conv"),
+        F.col("position").alias("result_position"),
+        "content",
     )
     both = stored(calls.join(results, ["scope", "call_id"], "full_outer"))
 
@@ -270,7 +377,8 @@ def linked_calls(events: DataFrame, schemas: Mapping[str, Mapping]) -> DataFrame
             "call_id",
             "name",
             status.alias("status"),
-            F.coalesce("copies", "result_copies").alias("copies"),
+            F.coalesce("copies", F.lit(0)).alias("copies"),
+            F.coalesce("result_copies", F.lit(0)).alias("result_copies"),
             F.coalesce("missing", F.lit(0)).alias("missing"),
             "arguments",
             "needs",
@@ -279,34 +387,39 @@ def linked_calls(events: DataFrame, schemas: Mapping[str, Mapping]) -> DataFrame
             F.coalesce("has_result", F.lit(False)).alias("has_result"),
         )
     )
-    nameless = rows.filter("call_id is null and kind in ('call', 'result')").select(
-        "scope",
-        "conv_id",
-        F.lit(None).cast("int").alias("level"),
-        "position",
-        "call_id",
-        "name",
-        F.lit("no_id").alias("status"),
-        F.lit(1).alias("copies"),
-        F.lit(0).alias("missing"),
-        "arguments",
-        "needs",
-        "content",
-        (F.col("kind") == "call").alias("is_call"),
-        (F.col("kind") == "result").alias("has_result"),
-    )
-    depth = F.coalesce("level", F.lit(2**31 - 1))
-    near = F.floor(F.coalesce("position", F.lit(2**62)) / 1024)
-    lines = stored(
-        found.unionByName(nameless).withColumns(
-            {"bucket": F.struct(depth.alias("depth"), near.alias("near")), "one": F.lit(1)}
+
+    def apart(rows: DataFrame, status: str, is_call: Column, has_result: Column) -> DataFrame:
+        """Lines of events that are linked to nothing."""
+        own = {"name": "string", "arguments": "string", "needs": "array<string>", "content": "string"}
+        has = {c: F.col(c) if c in rows.columns else F.lit(None).cast(t) for c, t in own.items()}
+        return rows.select(
+            "scope",
+            "conv_id",
+            F.lit(None).cast("int").alias("level"),
+            "position",
+            "call_id",
+            has["name"].alias("name"),
+            F.lit(status).alias("status"),
+            F.when(has_result, 0).otherwise(F.col("copies")).alias("copies"),
+            F.when(has_result, F.col("copies")).otherwise(0).alias("result_copies"),
+            F.lit(0).alias("missing"),
+            *[has[c].alias(c) for c in ("arguments", "needs", "content")],
+            is_call.alias("is_call"),
+            has_result.alias("has_result"),
         )
+
+    no, yes = F.lit(False), F.lit(True)
+    is_event = F.coalesce(F.col("kind").isin("call", "result"), no)
+    nameless = rows.filter(is_event & F.col("call_id").isNull())
+    lines = (
+        found.unionByName(apart(nameless, "no_id", F.col("kind") == "call", F.col("kind") == "result"))
+        .unionByName(apart(other_calls, "conflict", yes, no))
+        .unionByName(apart(other_results, "conflict", no, yes))
+        .unionByName(apart(rows.filter(~is_event), "other", no, no))
     )
-    order: list[Column | str] = [F.col("position").asc_nulls_last(), "call_id", "name", "arguments", "content"]
-    lines = running(lines, ["scope"], "bucket", order, "one", "place")
-    names = ["conv_id", "place", "level", "position", "call_id", "name", "status", "copies", "missing"]
+    names = ["conv_id", "place", "level", "position", "call_id", "name", "status", "copies", "result_copies", "missing"]
     more = ["arguments", "needs", "content", "is_call", "has_result"]
-    return lines.select(*names, *more).mapInArrow(serialised(schemas), LINE)
+    return numbered(lines).select(*names, *more).mapInArrow(serialised(schemas), LINE)
 
 
 #: The tools that from_turns() derives from plain conversations.
@@ -331,26 +444,33 @@ TURN_SCHEMAS = {
 
 
 def from_turns(conversations: DataFrame) -> DataFrame:
-    """Events of conversations (conv_id, turn, role, text). A user's turn calls `answer`, which
-    needs the call two turns before; the assistant's turn after it is the result; a system's turn
-    calls `configure`."""
-    call = lambda turn: F.concat_ws(":", F.col("conv_id").cast("string"), turn.cast("string"))
+    """One event for each row of conversations (conv_id, turn, role, text). A user's turn calls
+    `answer`, which needs the user's call two turns before; a turn of the assistant or of a tool is the
+    result of the user's call one turn before; a system's turn calls `configure`. Rows of another
+    or no role are events of that role."""
+
+    def call(role: str, turn: Column) -> Column:
+        return F.concat_ws(":", F.coalesce(F.col("conv_id").cast("string"), F.lit("")), F.lit(role), turn.cast("string"))
+
     turn = F.col("turn").cast("long")
     words = F.size(F.filter(F.split(F.col("text"), r"\s+"), lambda w: w != ""))
     question = F.to_json(
         F.struct(F.col("text").alias("question"), turn.alias("turn"), words.alias("words"))
     )
     setting = F.to_json(F.struct(F.col("text").alias("instructions")))
-    role = F.lower("role")
+    role = F.coalesce(F.lower("role"), F.lit(""))
+    user, system = role == "user", role == "system"
+    result = role.isin("assistant", "tool")
+    own = F.when(result, call("user", turn - 1)).when(user, call("user", turn)).when(system, call("system", turn))
     return conversations.select(
         "conv_id",
         turn.alias("position"),
-        F.when(role == "assistant", "result").when(role.isin("user", "system"), "call").alias("kind"),
-        F.when(turn.isNotNull(), call(F.when(role == "assistant", turn - 1).otherwise(turn))).alias("call_id"),
-        F.when(role == "user", "answer").when(role == "system", "configure").alias("name"),
-        F.when(role == "user", question).when(role == "system", setting).alias("arguments"),
-        F.when((role == "user") & (turn >= 2), F.array(call(turn - 2)))
+        F.when(result, "result").when(user | system, "call").otherwise("other").alias("kind"),
+        F.when(turn.isNotNull(), own).alias("call_id"),
+        F.when(user, "answer").when(system, "configure").when(~result, F.col("role")).alias("name"),
+        F.when(user, question).when(system, setting).alias("arguments"),
+        F.when(user & (turn >= 2), F.array(call("user", turn - 2)))
         .otherwise(F.array().cast("array<string>"))
         .alias("needs"),
-        F.when(role == "assistant", F.col("text")).alias("content"),
+        F.when(~(user | system), F.col("text")).alias("content"),
     )
