@@ -5,10 +5,14 @@ lexicons learned from labelled texts, or a pattern such as an insult after "you"
 explains which voters fire together: a class balance, for each class how often each voter fires,
 and how pairs of voters that are not independent within a class go together. It is fitted by
 expectation maximisation on the counts of firing patterns over all texts outside the held-out
-fold, with the labels that are known held fixed. A linear classifier on words and votes is then
+fold, with the labels that are known held fixed. Dependent pairs are found before that, from how
+the voters' correlations depart from those that a class alone can make (rank one). A linear classifier on words and votes is then
 trained on the posterior labels of a bounded sample of SAMPLE labelled texts, and scores every
 text.
 
+The sample holds one text of a document id (the largest) and one of a group of near copies (with the
+larger label); ids are taken in the order of their hash, so every run learns from the same texts.
+
 Edge cases: a null text is the empty text, which gets the classifier's score of no word. Labels
 that are null do not count; of several labels of a document the largest does. Without labelled
 texts the seed lexicons and patterns alone decide. A null key hashes as the empty one. Equal rows
@@ -51,6 +55,8 @@ STRONG, WEAK, LEAST_TOXIC = 0.8, 0.5, 6
 COPY_HASHES = 6
 #: Correlation within a class from which a pair of voters is modelled.
 CORRELATED = 0.05
+#: Texts that a voter fires in, and that it does not fire in, for its correlations to be told.
+LEAST_FIRED = 5
 CACHE = 500_000
 
 ADDED = ("held_out", "score", "predicted")
@@ -195,25 +201,74 @@ def log_linear(counts, terms, theta, rounds=200, ridge=1.0):
     return theta, logits - top - np.log(np.exp(logits - top).sum())
 
 
+def dependent(counts: np.ndarray, table: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs of voters that go together for another reason than the class, found before any class
+    is known.
+
+    Voters that only the class links have correlations of rank one: a product of one number for
+    each voter. While some pair departs from that by more than CORRELATED, the closest pair that
+    departs from what all the other pairs say is taken out. Every voter keeps a triangle of
+    pairs, without which its number is not known.
+    """
+    corr = correlations(counts, table)
+    used = ~np.eye(len(corr), dtype=bool)
+    found = []
+    for i, j in sorted(combinations(range(len(corr)), 2), key=lambda x: -abs(corr[x])):
+        link = rank_one(corr, used)
+        if np.abs(corr - np.outer(link, link))[used].max(initial=0) <= CORRELATED:
+            break
+        used[i, j] = used[j, i] = False
+        whole = used.astype(int)
+        link = rank_one(corr, used)
+        if np.diag(whole @ whole @ whole).min() > 0 and abs(corr[i, j] - link[i] * link[j]) > CORRELATED:
+            found.append((i, j))
+        else:
+            used[i, j] = used[j, i] = True
+    return sorted(found)
+
+
+def correlations(counts: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Correlations of the voters; 0 for one that fires in, or not in, hardly a text."""
+    p = counts / counts.sum()
+    mean = p @ table
+    cov = (table * p[:, None]).T @ table - np.outer(mean, mean)
+    dev = np.sqrt(np.maximum(np.diag(cov), 1e-12))
+    told = counts.sum() * np.minimum(mean, 1 - mean) >= LEAST_FIRED
+    return np.where(np.outer(told, told), cov / np.outer(dev, dev), 0.0)
+
+
+def rank_one(corr: np.ndarray, used: np.ndarray, rounds: int = 100) -> np.ndarray:
+    """The numbers whose products are nearest to the correlations that are used."""
+    kept = np.where(used, corr, 0.0)
+    link = np.full(len(corr), 0.5)
+    for _ in range(rounds):
+        for i in range(len(corr)):
+            link[i] = kept[i] @ link / max(used[i] @ link**2, 1e-9)
+        link = np.clip(link, -1, 1)
+    return link
+
+
 def label_model(free: np.ndarray, known: np.ndarray, voters: int, rounds: int = 40) -> LabelModel:
     """Fit the label model. free: counts of patterns of texts without a label; known: of those
     with one, by label (2 x patterns)."""
     table = fired_table(voters)
-    signs = table @ np.ones(voters)
-    # Before any fit a text is the likelier to be toxic the more voters fire, unless labels of
-    # texts with its pattern say otherwise.
+    counts = free + known.sum(0)
+    pairs = dependent(counts, table) if counts.sum() else []
+    # Before any fit a text is the likelier to be toxic the more voters fire, of which those that
+    # go together count as one, unless labels of texts with its pattern say otherwise.
+    share = 1 / (1 + np.bincount(np.array(pairs, int).ravel(), minlength=voters))
+    signs = table @ share
     guess = np.clip(signs / 4, 0.02, 0.98)
     post = (known[1] + 4 * guess) / (known.sum(0) + 4)
-    pairs: list[tuple[int, int]] = []
-    theta = [np.zeros(voters) for _ in range(2)]
-    terms = table
+    terms, theta = with_pairs(table, pairs), [np.zeros(voters + len(pairs)) for _ in range(2)]
     for turn in range(rounds):
         by_class = [known[0] + free * (1 - post) + 1e-9, known[1] + free * post + 1e-9]
         if turn == 10:
-            pairs = correlated(by_class, table)
-            products = [table[:, i] * table[:, j] for i, j in pairs]
-            terms = np.column_stack([table, *products])
-            theta = [np.append(t, np.zeros(len(pairs))) for t in theta]
+            # Pairs that are linked within a class as it now is, though not over all texts.
+            more = [x for x in correlated(by_class, table) if x not in pairs]
+            pairs = pairs + more
+            terms = with_pairs(table, pairs)
+            theta = [np.append(t, np.zeros(len(more))) for t in theta]
         fitted = [log_linear(c, terms, t) for c, t in zip(by_class, theta, strict=True)]
         theta = [f[0] for f in fitted]
         total = [c.sum() for c in by_class]
@@ -223,19 +278,19 @@ def label_model(free: np.ndarray, known: np.ndarray, voters: int, rounds: int =
             break
         post = new
     rates = np.stack([(c @ table) / c.sum() for c in by_class])
-    return LabelModel(post, total[1] / sum(total), rates, pairs)
+    return LabelModel(post, total[1] / sum(total), rates, sorted(pairs))
+
+
+def with_pairs(table: np.ndarray, pairs: Sequence[tuple[int, int]]) -> np.ndarray:
+    """The patterns' terms: each voter, and the product of each pair."""
+    return np.column_stack([table, *[table[:, i] * table[:, j] for i, j in pairs]])
 
 
 def correlated(by_class: Sequence[np.ndarray], table: np.ndarray) -> list[tuple[int, int]]:
     found = set()
     for counts in by_class:
-        p = counts / counts.sum()
-        mean = p @ table
-        cov = (table * p[:, None]).T @ table - np.outer(mean, mean)
-        dev = np.sqrt(np.maximum(np.diag(cov), 1e-12))
-        for i, j in combinations(range(table.shape[1]), 2):
-            if abs(cov[i, j] / (dev[i] * dev[j])) > CORRELATED:
-                found.add((i, j))
+        corr = correlations(counts, table)
+        found |= {x for x in combinations(range(table.shape[1]), 2) if abs(corr[x]) > CORRELATED}
     return sorted(found)
 
 
@@ -245,10 +300,15 @@ class Classifier:
     votes: np.ndarray
     words: np.ndarray
 
-    def score(self, pattern: int, words: Sequence[int]) -> float:
-        z = self.bias + self.votes @ (pattern >> np.arange(len(self.votes)) & 1)
-        z += self.words[list(words)].sum()
-        return float(1 / (1 + np.exp(-min(50.0, max(-50.0, z)))))
+    def scores(self, patterns: Sequence[int], words: Sequence[Sequence[int]]) -> np.ndarray:
+        """Scores of texts by their patterns and known words, as one sparse product."""
+        votes = np.asarray(patterns, int)[:, None] >> np.arange(len(self.votes)) & 1
+        counts = np.array([len(w) for w in words], int)
+        row = np.repeat(np.arange(len(words)), counts)
+        col = np.fromiter(chain.from_iterable(words), int, counts.sum())
+        z = self.bias + votes @ self.votes
+        z += np.bincount(row, self.words[col], minlength=len(words))
+        return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
 
 
 def train(patterns: np.ndarray, words: list[list[int]], soft: np.ndarray, voters: int, size: int):
@@ -274,7 +334,7 @@ def train(patterns: np.ndarray, words: list[list[int]], soft: np.ndarray, voters
 
 
 def copy_sign(words: list[str]) -> int:
-    """A hash that near copies share for the most part."""
+    """A hash of words, numbers included, that near copies share for the most part."""
     if not words:
         return 0
     hashes = np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
@@ -288,13 +348,14 @@ def without_near_copies(sample: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            words = [sorted(set(map(letters, t.split())) - {""}) for t in batch.column(0).to_pylist()]
+            texts = batch.column(0).to_pylist()
+            words = [sorted(set(map(letters, t.split())) - {""}) for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     batch.column(1),
-                    pa.array([[w[:60] for w in ws] for ws in words], pa.list_(pa.string())),
-                    pa.array([copy_sign(ws) for ws in words], pa.int64()),
+                    pa.array(words, pa.list_(pa.string())),
+                    pa.array([copy_sign(sorted(set(t.lower().split()))) for t in texts], pa.int64()),
                 ],
                 ["text", "toxic", "words", "sign"],
             )
@@ -358,13 +419,11 @@ def fit(docs: DataFrame, labels: DataFrame, text: str, key: str, toxic: str, fol
         F.col(f"`{key}`").alias("key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")
     ).filter(fold(F.col("key"), folds) != held)
     slim = docs.select(F.col(f"`{key}`").alias("key")).filter(fold(F.col("key"), folds) != held)
-    with_label = slim.join(truth, "key")
-    share = min(1.0, 1.3 * SAMPLE / max(1, with_label.count()))
-    unit = (F.xxhash64("key") / F.lit(2.0**64)) + 0.5
-    picked = truth.filter(unit < share)
-    sample = stored(
-        rows.filter(unit < share).join(picked, "key").select("text", "toxic").limit(SAMPLE)
-    )
+    with_label = slim.join(truth, "key").distinct()
+    # The same texts in every run: of all keys the first by hash, of a key's texts the largest.
+    picked = stored(with_label.orderBy(F.xxhash64("key"), "key").limit(SAMPLE))
+    sample = rows.join(F.broadcast(picked), "key").groupBy("key", "toxic").agg(F.max("text").alias("text"))
+    sample = sample.select("text", "toxic")
     sample = without_near_copies(sample)
     signs = learned(sample.select("toxic", "words"))
     voters = len(VOTERS)
@@ -417,7 +476,8 @@ def score(
     def work(batches: Iterator[pa.RecordBatch]):
         model, linear = sent.value
         for batch in batches:
-            scores = [linear.score(*model.read(t.as_py() or "")) for t in batch.column(1)]
+            found = [model.read(t.as_py() or "") for t in batch.column(1)]
+            scores = linear.scores([f[0] for f in found], [f[1] for f in found])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(scores, pa.float64())],
                 ["row", "held_out", "score"],
