@@ -82,3 +82,20 @@ def test_label_model_finds_accuracies():
     assert abs(model.balance - 0.3) < 0.05
     assert np.abs(model.accuracy[1] - [0.8, 0.6, 0.7, 0.7]).max() < 0.1
     assert (2, 3) in model.pairs
+
+
+def test_labels_beyond_the_sample_give_equal_scores(spark, corpus, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE", 120)
+    rows, labels = corpus[0][:250], corpus[1][:250]
+    rows = rows + [(251, "g" * 100_000 + " you idiot", "en", "a", 0)]
+    first = {r.doc_id: r.score for r in scored(spark, rows, labels).collect()}
+    truth = spark.createDataFrame(labels[::-1], "doc_id long, quality int, toxic int").repartition(5)
+    again = toxicity.score(table(spark, rows[::-1]).repartition(7), truth)
+    assert {r.doc_id: pytest.approx(r.score, abs=1e-9) for r in again.collect()} == first
+
+
+def test_voters_that_hardly_fire_are_no_pairs():
+    counts = np.full(8, 1e-9)
+    counts[[0, 1]] = 500, 100
+    assert toxicity.dependent(counts, toxicity.fired_table(3)) == []
+    assert toxicity.correlated([counts, counts], toxicity.fired_table(3)) == []
