@@ -8,10 +8,11 @@ hold a linked pair of ids is counted over the whole corpus and told back to ever
 
 Neither tokenizer joins what lies before a space to what follows it, so a text is encoded in chunks
 that begin with a space after another character. Chunks are remembered by a worker, up to
-REMEMBERED bytes; groups and links never leave a chunk. New chunks are encoded a line
-at a time. Texts lie in slots (see `slots`): a slot
-sends the pairs it holds and in how many documents to buckets by first id, the bucket's sums are
-streamed, so it holds the pairs of its ids alone, and each slot gets the counts of its own pairs.
+REMEMBERED bytes, those met again for longer; groups and links never leave a chunk. New chunks are
+encoded a line at a time. Texts lie in slots (see `slots`) and are encoded once: a slot stores its
+texts' groups and which of its pairs each text holds how often, and sends the pairs and in how many
+documents they are to buckets by first id. The bucket's sums are streamed, so it holds the pairs of
+its ids alone, and each slot gets the counts of its own pairs.
 Equal texts are aligned once and counted as often as they occur.
 
 Edge cases: null and empty texts, and texts that either tokenizer does not give back byte for byte,
@@ -126,6 +127,7 @@ class Aligner:
         self.written: dict[str, str] = {}
         self.counts: dict[str, int] = {}
         self.broken: set[str] = set()
+        self.again: set[str] = set()
         self.size = 0
 
     def spans(self, text: str, starts: np.ndarray | None) -> tuple[list[int], np.ndarray]:
@@ -195,15 +197,26 @@ class Aligner:
             at = to
         self.size += ENTRY * len(lines) + len(data) + len(links) + 8 * (len(a) + len(b))
 
+    def forget(self) -> None:
+        """Keep the chunks met again since the last time, unless these alone are too many."""
+        kept = self.again if len(self.again) * 4 < len(self.links) * 3 else set()
+        held = len(self.links)
+        self.links, self.written, self.counts = (
+            {c: known[c] for c in kept if c in known} for known in (self.links, self.written, self.counts)
+        )
+        self.size = self.size * len(self.links) // max(held, 1)
+        self.broken, self.again = set(), set()
+
     def __call__(self, texts: list[bytes]) -> list[list[str] | None]:
         """The chunks of each text, all of them known now; None if a text has no tokens."""
         if self.size > REMEMBERED:
-            for known in (self.links, self.written, self.counts, self.broken):
-                known.clear()
-            self.size = 0
+            self.forget()
         found = [chunks(" " + t.decode()) if t else [] for t in texts]
         waiting, size = [], 0
-        for chunk in set().union(*found).difference(self.links, self.broken):
+        met = set().union(*found)
+        new = met.difference(self.links, self.broken)
+        self.again |= met - new
+        for chunk in new:
             # What ends in white space, or has the sign that stands for it, would meet the next chunk.
             if chunk[-1].isspace() or "▁" in chunk:
                 self.learn([chunk])
@@ -237,14 +250,23 @@ def aligner(first: str, second: bytes, groups: bool) -> Aligner:
     return Aligner(first, second, groups)
 
 
-HELD = pa.schema([("bucket", pa.int32()), ("slot", pa.int32()), ("pairs", pa.binary()), ("docs", pa.binary())])
-HELD_SQL = "bucket int, slot int, pairs binary, docs binary"
+#: What a slot stores: its pairs by bucket, and its texts.
+HELD = pa.schema([("slot", pa.int32()), ("bucket", pa.int32()), ("pairs", pa.binary()), ("docs", pa.binary())])
+TEXTS = pa.schema([
+    ("slot", pa.int32()), ("digest", pa.binary()), ("n", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()),
+    ("groups_sha256", pa.string()), ("groups", pa.string()), ("own", pa.binary()), ("times", pa.binary()),
+])
+STORED = pa.unify_schemas([HELD, TEXTS])
+STORED_SQL = (
+    "slot int, bucket int, pairs binary, docs binary, digest binary, n long, n_a long, n_b long, n_groups long, "
+    "groups_sha256 string, groups string, own binary, times binary"
+)
 TOTAL = pa.schema([("bucket", pa.int32()), ("all_pairs", pa.binary()), ("totals", pa.binary()), ("best", pa.binary())])
 TOTAL_SQL = "bucket int, all_pairs binary, totals binary, best binary"
 TOLD = pa.schema([("slot", pa.int32()), ("pairs", pa.binary()), ("totals", pa.binary()), ("best", pa.binary())])
 TOLD_SQL = "slot int, pairs binary, totals binary, best binary"
-FOUND = pa.schema([("digest", pa.binary()), ("n", pa.int64()), *[(c, pa.int64()) for c in ADDED[:-1]], ("groups_sha256", pa.string()), ("groups", pa.string())])
-FOUND_SQL = "digest binary, n long, " + "".join(f"{c} long, " for c in ADDED[:-1]) + "groups_sha256 string, groups string"
+FOUND = pa.schema([("digest", pa.binary()), ("n_links", pa.int64()), ("n_best", pa.int64()), ("count_sum", pa.int64())])
+FOUND_SQL = "digest binary, n_links long, n_best long, count_sum long"
 
 
 def summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -255,28 +277,44 @@ def summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[first], np.add.reduceat(values, first) if len(first) else values
 
 
-def holding(first, second, bits: int):
-    """A slot's linked pairs and in how many documents each is, by bucket of the first id."""
+def holding(first, second, bits: int, with_groups: bool):
+    """A slot's linked pairs and in how many documents each is, by bucket of the first id, and its
+    texts with which of the slot's pairs, in ascending order, they hold how often."""
 
     def hold(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        align = aligner(first.value, second.value, False)
-        keys, docs = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        align, slot = aligner(first.value, second.value, True), key[0].as_py()
+        texts = {f.name: [] for f in TEXTS}
+        pairs, times, mask = [], [], (1 << COUNT) - 1
         for part in portions(merged(table), PORTION):
-            pairs, times = [keys], [docs]
-            for found, (_, _, _, n) in zip(align([t for _, _, t, _ in part]), part, strict=True):
-                if found:
-                    pairs.append(np.unique(np.frombuffer(b"".join([align.links[c] for c in set(found)]), np.uint64)))
-                    times.append(np.full(len(pairs[-1]), n, np.int64))
-            keys, docs = summed(np.concatenate(pairs), np.concatenate(times))
+            for found, (digest, _, _, n) in zip(align([t for _, _, t, _ in part]), part, strict=True):
+                found = found or []
+                own = np.frombuffer(b"".join([align.links[c] for c in found]), np.uint64)
+                own, often = np.unique(own, return_counts=True)
+                pairs.append(own)
+                times.append(often)
+                total = sum([align.counts[c] for c in found])
+                groups = "".join([align.written[c] for c in found])[:-1]
+                sha = hashlib.sha256(groups.encode()).hexdigest() if found else ""
+                row = slot, digest, n, total >> 2 * COUNT, total >> COUNT & mask, total & mask, sha, groups if with_groups else None
+                for name, value in zip(TEXTS.names, row):
+                    texts[name].append(value)
+        keys, number = np.unique(np.concatenate([np.zeros(0, np.uint64), *pairs]), return_inverse=True)
+        sizes = [len(p) for p in pairs]
+        docs = np.zeros(len(keys), np.int64)
+        np.add.at(docs, number, np.repeat(np.array(texts["n"], np.int64), sizes))
+        for own, often in zip(np.split(number.astype(np.uint32), np.cumsum(sizes)[:-1]), times):
+            texts["own"].append(pack_sorted(own))
+            texts["times"].append(pack(often.astype(np.uint32)))
         bucket = (keys >> np.uint64(32)) & np.uint64((1 << bits) - 1)
         order = np.argsort(bucket, kind="stable")
         out = {f.name: [] for f in HELD}
         for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else []:
+            out["slot"].append(slot)
             out["bucket"].append(int(bucket[part[0]]))
-            out["slot"].append(key[0].as_py())
             out["pairs"].append(pack_sorted(keys[part]))
             out["docs"].append(pack(docs[part]))
-        return rows_of(out, HELD)
+        both = pa.concat_tables([rows_of(out, HELD), rows_of(texts, TEXTS)], promote_options="default")
+        return both.select(STORED.names).cast(STORED)
 
     return hold
 
@@ -313,45 +351,24 @@ def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in TOLD], schema=TOLD)
 
 
-def aligning(first, second, with_groups: bool):
-    """The figures of each text of a slot."""
-
-    def align_slot(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        align = aligner(first.value, second.value, True)
-        parts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for row in answers.select(["pairs", "totals", "best"]).to_pylist():
-            docs = unpack(row["totals"], np.int64)
-            best = np.unpackbits(np.frombuffer(row["best"], np.uint8))[: len(docs)]
-            for part, found in zip(parts, (unpack_sorted(row["pairs"], np.uint64), docs, best.astype(np.int64)), strict=True):
-                part.append(found)
-        pairs, docs, best = (np.concatenate(p) for p in parts)
-        order = np.argsort(pairs, kind="stable")
-        pairs, docs, best = pairs[order], docs[order], best[order]
-        out = {f.name: [] for f in FOUND}
-        for part in portions(merged(texts), PORTION):
-            lines = align([t for _, _, t, _ in part])
-            # The figures of all chunks of these texts, which then are sums of rows.
-            number = {c: i for i, c in enumerate(set().union(*[f for f in lines if f]))}
-            figures = np.zeros((len(number), 6), np.int64)
-            if number:
-                links = [align.links[c] for c in number]
-                at = np.searchsorted(pairs, np.frombuffer(b"".join(links), np.uint64))
-                figures[:, :3] = [(n >> 2 * COUNT, n >> COUNT & (1 << COUNT) - 1, n & (1 << COUNT) - 1) for n in map(align.counts.__getitem__, number)]
-                figures[:, 3] = [len(x) // 8 for x in links]
-                begin = np.concatenate([[0], np.cumsum(figures[:-1, 3])])
-                figures[:, 4] = np.add.reduceat(best[at], begin)
-                figures[:, 5] = np.add.reduceat(docs[at], begin)
-            for found, (digest, _, _, n) in zip(lines, part, strict=True):
-                sums, groups = [0] * 6, ""
-                if found:
-                    sums = figures[[number[c] for c in found]].sum(0).tolist()
-                    groups = "".join([align.written[c] for c in found])[:-1]
-                sha = hashlib.sha256(groups.encode()).hexdigest() if found else ""
-                for name, value in zip(FOUND.names, (digest, n, *sums, sha, groups if with_groups else None), strict=True):
-                    out[name].append(value)
-        return rows_of(out, FOUND)
-
-    return align_slot
+def counted(texts: pa.Table, answers: pa.Table) -> pa.Table:
+    """The links of each text of a slot and the figures that all documents decide."""
+    parts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for row in answers.select(["pairs", "totals", "best"]).to_pylist():
+        docs = unpack(row["totals"], np.int64)
+        best = np.unpackbits(np.frombuffer(row["best"], np.uint8))[: len(docs)]
+        for part, found in zip(parts, (unpack_sorted(row["pairs"], np.uint64), docs, best.astype(np.int64)), strict=True):
+            part.append(found)
+    pairs, docs, best = (np.concatenate(p) for p in parts)
+    order = np.argsort(pairs, kind="stable")
+    docs, best = docs[order], best[order]
+    out = {f.name: [] for f in FOUND}
+    for digest, own, times in zip(*[texts.column(c).to_pylist() for c in ("digest", "own", "times")], strict=True):
+        at, often = unpack_sorted(own, np.uint32), unpack(times, np.uint32).astype(np.int64)
+        row = digest, int(often.sum()), int(best[at] @ often), int(docs[at] @ often)
+        for name, value in zip(FOUND.names, row, strict=True):
+            out[name].append(value)
+    return rows_of(out, FOUND)
 
 
 def align(
@@ -371,11 +388,16 @@ def align(
     slots = slot_count(size, slot_bytes)
     # Slots are work for the processor more than bytes, so they are not brought together by size.
     texts = text_slots(rows, slots).repartition(min(slots, TASKS), "slot")
-    held = stored(texts.groupBy("slot").applyInArrow(holding(*vocabularies, bucket_bits(slots)), HELD_SQL))
+    by_slot = texts.groupBy("slot").applyInArrow(holding(*vocabularies, bucket_bits(slots), with_groups), STORED_SQL)
+    by_slot = stored(by_slot)
+    held = by_slot.filter("bucket is not null").select(*HELD.names)
+    aligned = by_slot.filter("digest is not null")
     sums = stored(held.groupBy("bucket").applyInArrow(totals, TOTAL_SQL))
     answers = held.drop("docs").join(sums, "bucket").mapInArrow(told, TOLD_SQL)
-    figures = texts.groupBy("slot").cogroup(answers.groupBy("slot")).applyInArrow(aligning(*vocabularies, with_groups), FOUND_SQL)
-    figures = stored(figures)
+    uses = aligned.select("slot", "digest", "own", "times").groupBy("slot")
+    figures = uses.cogroup(answers.groupBy("slot")).applyInArrow(counted, FOUND_SQL)
+    known = ["digest", "n", "n_a", "n_b", "n_groups", "groups_sha256", *(["groups"] if with_groups else [])]
+    figures = stored(aligned.select(*known).join(figures, "digest"))
     slim = stored(docs.select(packed(docs, names), digest_of(text).alias("digest")))
     added = [*ADDED, "groups"] if with_groups else ADDED
     return unpacked(joined_groups(slim, figures, "digest", "n", slim.count()), names, added)
