@@ -1,15 +1,18 @@
 """N-gram Jaccard join by a MinHash LSH forest.
 
 Texts are sets of hashed word shingles. Texts with equal sets are one class from the start, so
-copies of any number are one row. A forest of TREES tries holds the signatures of the classes;
-the prefix by which two of them meet in a trie is shortened from DEPTH on until the chance that a
-pair at the threshold meets in some trie reaches the target recall. Pairs that meet are verified
-on their whole sets.
+copies of any number are one row. A forest of TREES tries holds signatures of DEPTH values; a trie
+is its classes in the order of their values, and a node those that share a prefix. Classes meet by
+the longest prefix first and pairs that meet are verified on their whole sets. The similarities of
+the links found tell how many links of each similarity a prefix misses; it is shortened to the
+longest one that misses few enough for the target recall, and so on until the links found bear it
+out. A link at the threshold is always reckoned with as not yet seen, and the shortest prefix is
+the one that meets the target where all links are at the threshold.
 
 No bucket is worked on as a whole list of pairs: members of a small bucket (SMALL at most) are
 joined with each other; a larger one is cut into blocks, and each pair of blocks is one task's
 matrix product, which counts links and hands on a spanning forest, not the pairs. A pair is
-counted only in the first trie where it meets.
+counted only by the longest prefix and in the first trie where it meets.
 
 Edge cases: words are what white space separates, in lower case. A text of fewer words than a
 shingle is one shingle of all its words. A text without words (null and empty ones too) is linked
@@ -22,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -38,6 +42,8 @@ THRESHOLD = 0.8
 TREES = 20
 DEPTH = 8
 RECALL = 0.9999
+#: Bins of the similarities of links.
+BINS = 20
 #: Members of a bucket whose pairs are joined; members of a block of a larger one.
 SMALL = 16
 BLOCK = 1024
@@ -47,10 +53,27 @@ FILTER_BITS = 1 << 22
 ADDED = ("class_id", "links")
 
 
+def chance(similarity: np.ndarray | float, length: int, trees: int):
+    """The chance that a pair of this similarity shares a prefix of this length in some trie."""
+    return 1 - (1 - similarity**length) ** trees
+
+
 def prefix_length(threshold: float, trees: int, depth: int, recall: float) -> int:
     """The longest prefix by which pairs at the threshold are met with the target recall."""
     length = depth
-    while length > 1 and 1 - (1 - threshold**length) ** trees < recall:
+    while length > 1 and chance(threshold, length, trees) < recall:
+        length -= 1
+    return length
+
+
+def next_length(seen: np.ndarray, length: int, least: int, threshold: float, trees: int, recall: float) -> int:
+    """The longest prefix, up to the present one, that should miss few enough links.
+
+    `seen` are the links found so far by bins of similarity, each of which stands for as many as the
+    present prefix finds one of; a link at the threshold is added to them."""
+    similarity = np.append(threshold + (1 - threshold) * np.arange(len(seen)) / len(seen), threshold)
+    links = np.append(seen / chance(similarity[:-1], length, trees), 1.0)
+    while length > least and links @ (1 - chance(similarity, length, trees)) > (1 - recall) * links.sum():
         length -= 1
     return length
 
@@ -83,38 +106,53 @@ class Shingler:
         return np.unique(total)
 
 
-def signer(trees: int, length: int) -> Callable[[np.ndarray], np.ndarray]:
-    """Prefix hashes (one per trie, signed 64-bit) of a set of shingles."""
+def tail_bits(length: int, depth: int) -> int:
+    """Bits for each value after the shortest prefix, all of which are one number."""
+    return min(15, 60 // max(1, depth - length))
+
+
+def signer(trees: int, length: int, depth: int) -> Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    """A set's place in each trie: hashes of its first `length` values and, as one number a trie, some
+    bits of each of the others up to depth."""
     rng = np.random.default_rng(7)
-    n = trees * length
+    n, bits = trees * depth, tail_bits(length, depth)
     a = rng.integers(1, 1 << 32, n, dtype=np.uint32) | np.uint32(1)
     b = rng.integers(0, 1 << 32, n, dtype=np.uint32)
-    mix = rng.integers(1 << 62, 1 << 63, length, dtype=np.uint64) | np.uint64(1)
+    mix = rng.integers(1 << 62, 1 << 63, depth, dtype=np.uint64) | np.uint64(1)
     salt = rng.integers(0, 1 << 63, trees, dtype=np.uint64)
 
-    def sign(shingles: np.ndarray) -> np.ndarray:
+    def sign(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         low = (shingles >> np.uint64(13)).astype(np.uint32)
         least = np.full(n, 0xFFFFFFFF, np.uint32)
         for at in range(0, len(low), 1024):
             part = low[at : at + 1024, None] * a + b
             np.minimum(least, part.min(0), out=least)
-        total = salt.copy()
-        for j, column in enumerate(least.reshape(trees, length).T.astype(np.uint64)):
-            total = (total ^ column) * mix[j]
-            total ^= total >> np.uint64(29)
-        return total.view(np.int64)
+        total, tail = salt.copy(), np.zeros(trees, np.uint64)
+        for j, column in enumerate(least.reshape(trees, depth).T.astype(np.uint64)):
+            if j < length:
+                total = (total ^ column) * mix[j]
+                total ^= total >> np.uint64(29)
+            else:
+                tail = tail << np.uint64(bits) | (column * mix[j]) >> np.uint64(64 - bits)
+        return total.view(np.int64), tail.view(np.int64)
 
     return sign
 
 
+def nodes(length: int, least: int, depth: int) -> Column:
+    """The node of each trie that a class is in by a prefix of this length."""
+    cut = tail_bits(least, depth) * (depth - length)
+    return F.zip_with("keys", "tails", lambda k, t: F.xxhash64(k, F.shiftright(t, cut)))
+
+
 def text_key(key: Column, text: Column) -> Column:
     """Names a row by its content: equal for rows equal in key and text."""
     parts = [F.coalesce(key.cast("string"), F.lit("null")), F.md5(F.coalesce(text, F.lit("")))]
     return F.unhex(F.md5(F.concat_ws("|", *parts).cast("binary")))
 
 
-def signed(docs: DataFrame, text: str, key: str, trees: int, length: int, size: int) -> DataFrame:
-    """key, name, digest of the set (null without words), prefixes, at."""
+def signed(docs: DataFrame, text: str, key: str, trees: int, length: int, depth: int, size: int) -> DataFrame:
+    """key, name, digest of the set (null without words), its places in the tries (keys and tails), at."""
     rows = docs.select(
         F.col(f"`{key}`").alias("key"),
         text_key(F.col(f"`{key}`"), F.col(f"`{text}`")).alias("name"),
@@ -122,26 +160,27 @@ def signed(docs: DataFrame, text: str, key: str, trees: int, length: int, size:
     )
 
     def work(batches: Iterator[pa.RecordBatch]):
-        shingler, sign = Shingler(size), signer(trees, length)
+        shingler, sign = Shingler(size), signer(trees, length, depth)
         for batch in batches:
-            digests, prefixes = [], []
+            digests, places = [], []
             for value in batch.column(2):
                 shingles = shingler(value.as_py())
                 full = len(shingles) > 0
                 digests.append(hashlib.md5(shingles.tobytes()).digest() if full else None)
-                prefixes.append(sign(shingles) if full else None)
+                places.append(sign(shingles) if full else (None, None))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     batch.column(1),
                     pa.array(digests, pa.binary()),
-                    pa.array(prefixes, pa.list_(pa.int64())),
+                    pa.array([k for k, _ in places], pa.list_(pa.int64())),
+                    pa.array([t for _, t in places], pa.list_(pa.int64())),
                 ],
-                ["key", "name", "digest", "prefixes"],
+                ["key", "name", "digest", "keys", "tails"],
             )
 
     kind = rows.schema["key"].dataType.simpleString()
-    out = rows.mapInArrow(work, f"key {kind}, name binary, digest binary, prefixes array<bigint>")
+    out = rows.mapInArrow(work, f"key {kind}, name binary, digest binary, keys array<bigint>, tails array<bigint>")
     return stored(out.withColumn("at", F.monotonically_increasing_id()))
 
 
@@ -197,8 +236,15 @@ def forest_roots(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
             return root
 
 
+def bin_of(similarity: np.ndarray, threshold: float) -> np.ndarray:
+    """The bin of each similarity from the threshold to 1."""
+    share = (similarity - threshold) / max(1 - threshold, 1e-9)
+    return np.clip(np.floor(share * BINS), 0, BINS - 1).astype(int)
+
+
 def block_pairs(threshold: float):
-    """Links of a pair of blocks: per member, the documents it is linked to and a root."""
+    """Links of a pair of blocks: per member, the documents it is linked to and a root. The first
+    member's row has the links by bins of similarity."""
 
     def work(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("id", kind="stable").drop_duplicates("id")
@@ -207,16 +253,23 @@ def block_pairs(threshold: float):
         sets = [np.asarray(s).view(np.uint64) for s in rows["shingles"]]
         sizes = np.array([len(s) for s in sets], np.float64)
         common = intersections(sets).astype(np.float64)
-        linked = common >= threshold * (sizes[:, None] + sizes[None] - common) - 1e-9
+        union = sizes[:, None] + sizes[None] - common
+        linked = common >= threshold * union - 1e-9
         np.fill_diagonal(linked, False)
         if rows["low"].iloc[0] != rows["high"].iloc[0]:
             linked &= block[:, None] != block[None]
         prefixes = np.stack(rows["prefixes"].to_list())
         for t in range(tree):
             linked &= prefixes[:, t, None] != prefixes[None, :, t]
+        if rows["before"].iloc[0] is not None:
+            for column in np.stack(rows["before"].to_list()).T:
+                linked &= column[:, None] != column[None]
+        at = bin_of(np.triu(common / union, 1)[np.triu(linked)], threshold)
         root = forest_roots(len(ids), *np.nonzero(linked))
         out = pd.DataFrame({"id": ids, "links": linked @ weight, "other": ids[root]})
-        return out[out["links"] > 0]
+        out = out[out["links"] > 0]
+        seen = [np.bincount(at, minlength=BINS).tolist(), *[None] * len(out)][: len(out)]
+        return out.assign(seen=pd.Series(seen, out.index, object))
 
     return work
 
@@ -248,38 +301,24 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def near_classes(
+def links_by(
     docs: DataFrame,
-    text: str = "text",
-    key: str = "doc_id",
-    size: int = SHINGLE,
-    threshold: float = THRESHOLD,
-    trees: int = TREES,
-    depth: int = DEPTH,
-    recall: float = RECALL,
-    small: int = SMALL,
-    block: int = BLOCK,
-) -> DataFrame:
-    """key, name, at, class_id and links of every document, as a stored table.
-
-    links counts the other documents whose set has the threshold's Jaccard with this one's, copies
-    counted each. class_id is the least key that links lead to.
-    """
-    ship(docs.sparkSession)
-    length = prefix_length(threshold, trees, depth, recall)
-    rows = signed(docs, text, key, trees, length, size)
-    total = rows.count()
-    groups = stored(
-        rows.filter("digest is not null")
-        .groupBy("digest")
-        .agg(
-            F.count(F.lit(1)).alias("copies"),
-            F.min("key").alias("least_key"),
-            F.min_by(F.struct("at", "name", "prefixes"), "at").alias("first"),
-        )
-        .select("digest", "copies", "least_key", "first.*")
-        .withColumnRenamed("at", "id")
-    )
+    groups: DataFrame,
+    text: str,
+    key: str,
+    size: int,
+    threshold: float,
+    prefix: tuple[int, int | None, int, int],
+    small: int,
+    block: int,
+) -> tuple[DataFrame, np.ndarray]:
+    """Links between classes that share a prefix of a length but none of the length tried before: per
+    class, documents linked to and another class it is linked to; and the links by bins of similarity.
+
+    `prefix` is that length, the one before (None at first), the shortest and the longest one."""
+    length, before, least, depth = prefix
+    old = F.lit(None).cast("array<bigint>") if before is None else nodes(before, least, depth)
+    groups = groups.select("id", "name", "copies", nodes(length, least, depth).alias("prefixes"), old.alias("before"))
     met = groups.select("id", F.posexplode("prefixes").alias("tree", "bucket"))
     sizes = met.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     members = stored(met.join(sizes, "bucket"))
@@ -296,7 +335,7 @@ def near_classes(
         .union(pairs.select("other"))
         .union(many.select("id"))
         .distinct()
-        .join(groups.select("id", "name", "copies", "prefixes"), "id")
+        .join(groups, "id")
     )
 
     def shingled(batches: Iterator[pa.RecordBatch]):
@@ -309,12 +348,11 @@ def near_classes(
 
     texts = chosen(docs, ids.select("name"), text, key)
     sets = texts.mapInArrow(shingled, "name binary, shingles array<bigint>")
-    sets = stored(sets.join(ids, "name").select("id", "copies", "prefixes", "shingles"))
+    sets = stored(sets.join(ids, "name").select("id", "copies", "prefixes", "before", "shingles"))
 
     # Pairs of small buckets: verified by Spark's own set functions.
     def side(n: int) -> DataFrame:
-        names = {"copies": f"copies{n}", "prefixes": f"prefixes{n}", "shingles": f"shingles{n}"}
-        return sets.withColumnsRenamed(names)
+        return sets.withColumnsRenamed({c: f"{c}{n}" for c in sets.columns if c != "id"})
 
     # Rounded so that a threshold given in tenths is met where it is met exactly.
     common = F.size(F.array_intersect("shingles1", "shingles2"))
@@ -322,14 +360,19 @@ def near_classes(
     first = F.array_position(
         F.zip_with("prefixes1", "prefixes2", lambda a, b: a == b), F.lit(True)
     )
+    earlier = F.exists(F.zip_with("before1", "before2", lambda a, b: a == b), lambda same: same)
+    known = F.coalesce(earlier, F.lit(False))
+    share = (F.col("common") / union - F.lit(threshold)) / F.lit(max(1 - threshold, 1e-9))
+    bin_at = F.greatest(F.lit(0), F.least(F.lit(BINS - 1), F.floor(share * BINS).cast("int")))
     verified = (
         pairs.join(side(1), "id")
         .join(side(2).withColumnRenamed("id", "other"), "other")
-        .filter(first == F.col("tree") + 1)
+        .filter((first == F.col("tree") + 1) & ~known)
         .withColumn("common", common)
         .filter(F.col("common") >= F.lit(threshold) * union - F.lit(1e-9))
     )
-    verified = stored(verified.select("id", "other", "copies1", "copies2"))
+    verified = stored(verified.select("id", "other", "copies1", "copies2", bin_at.alias("bin")))
+    seen = verified.groupBy("bin").agg(F.count(F.lit(1)).alias("pairs"))
     found = verified.select("id", F.col("copies2").alias("links"), "other").unionByName(
         verified.select(
             F.col("other").alias("id"), F.col("copies1").alias("links"), F.col("id").alias("other")
@@ -352,9 +395,60 @@ def near_classes(
             )
         )
         units = units.join(sets, "id").groupBy("bucket", "low", "high")
-        counted = units.applyInPandas(block_pairs(threshold), "id long, links long, other long")
-        found = found.unionByName(counted)
-    found = stored(found)
+        counted = stored(
+            units.applyInPandas(block_pairs(threshold), "id long, links long, other long, seen array<long>")
+        )
+        found = found.unionByName(counted.drop("seen"))
+        in_blocks = counted.select(F.posexplode("seen").alias("bin", "pairs"))
+        seen = seen.unionByName(in_blocks).groupBy("bin").agg(F.sum("pairs").alias("pairs"))
+    counts = np.zeros(BINS)
+    for row in seen.collect():
+        counts[row["bin"]] = row["pairs"]
+    return found, counts
+
+
+def near_classes(
+    docs: DataFrame,
+    text: str = "text",
+    key: str = "doc_id",
+    size: int = SHINGLE,
+    threshold: float = THRESHOLD,
+    trees: int = TREES,
+    depth: int = DEPTH,
+    recall: float = RECALL,
+    small: int = SMALL,
+    block: int = BLOCK,
+) -> DataFrame:
+    """key, name, at, class_id and links of every document, as a stored table.
+
+    links counts the other documents whose set has the threshold's Jaccard with this one's, copies
+    counted each. class_id is the least key that links lead to.
+    """
+    ship(docs.sparkSession)
+    least = prefix_length(threshold, trees, depth, recall)
+    rows = signed(docs, text, key, trees, least, depth, size)
+    total = rows.count()
+    groups = stored(
+        rows.filter("digest is not null")
+        .groupBy("digest")
+        .agg(
+            F.count(F.lit(1)).alias("copies"),
+            F.min("key").alias("least_key"),
+            F.min_by(F.struct("at", "name", "keys", "tails"), "at").alias("first"),
+        )
+        .select("digest", "copies", "least_key", "first.*")
+        .withColumnRenamed("at", "id")
+    )
+    length, before, parts, seen = depth, None, [], np.zeros(BINS)
+    while True:
+        links, counts = links_by(docs, groups, text, key, size, threshold, (length, before, least, depth), small, block)
+        parts.append(links)
+        seen += counts
+        shorter = next_length(seen, length, least, threshold, trees, recall)
+        if shorter == length:
+            break
+        length, before = shorter, length
+    found = reduce(DataFrame.unionByName, parts)
     links = found.groupBy("id").agg(F.sum("links").alias("linked"))
     labels = components(found.select("id", "other"))
     joined = stored(
@@ -363,8 +457,8 @@ def near_classes(
         .join(links, "id", "left")
         .withColumn("label", F.coalesce("label", "id"))
     )
-    least = joined.groupBy("label").agg(F.min("least_key").alias("class_id"))
-    classes = joined.join(least, "label").select(
+    ids = joined.groupBy("label").agg(F.min("least_key").alias("class_id"))
+    classes = joined.join(ids, "label").select(
         "digest",
         "copies",
         "class_id",

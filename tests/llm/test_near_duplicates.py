@@ -95,6 +95,36 @@ def test_prefix_is_shortened_until_recall_is_reached():
     assert 1 - (1 - 0.8**length) ** 20 >= 0.9999 > 1 - (1 - 0.8 ** (length + 1)) ** 20
 
 
+def test_prefix_follows_the_links_found():
+    def after(seen, length=8):
+        return near_duplicates.next_length(np.array(seen, float), length, 4, 0.8, 20, 0.9999)
+
+    bins = near_duplicates.BINS
+    many = 1e7
+    assert after([0] * bins) == 4
+    assert after([0] * (bins - 1) + [many]) == 8
+    assert after([many] + [0] * (bins - 1)) == 4
+    middle = after([0] * 5 + [many] + [0] * (bins - 6))
+    assert 4 < middle < 8
+    assert after([0] * (bins - 1) + [20]) == 4
+    assert after([many] + [0] * (bins - 1), 4) == 4
+
+
+def test_sets_that_share_a_longer_prefix_share_the_shorter_ones(spark):
+    rng, sign = np.random.default_rng(3), near_duplicates.signer(20, 4, 8)
+    base = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
+    rows = []
+    for i in range(60):
+        other = np.where(rng.random(400) < 0.002 * i, rng.integers(0, 1 << 63, 400, dtype=np.uint64), base)
+        keys, tails = sign(np.unique(other))
+        rows.append((i, keys.tolist(), tails.tolist()))
+    df = spark.createDataFrame(rows, "id int, keys array<long>, tails array<long>")
+    at = df.select("id", *[near_duplicates.nodes(n, 4, 8).alias(f"n{n}") for n in range(4, 9)]).orderBy("id").collect()
+    shared = [{(i, t) for i, r in enumerate(at) for t in range(20) if r[f"n{n}"][t] == at[0][f"n{n}"][t]} for n in range(4, 9)]
+    assert all(longer <= shorter for shorter, longer in zip(shared, shared[1:]))
+    assert len(shared[0]) > len(shared[4]) > 20
+
+
 def test_intersections():
     rng = np.random.default_rng(0)
     sets = [np.unique(rng.integers(0, 400, n, dtype=np.uint64)) for n in (1, 50, 300, 90, 200)]
