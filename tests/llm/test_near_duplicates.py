@@ -106,7 +106,8 @@ def test_prefix_follows_the_links_found():
     assert after([many] + [0] * (bins - 1)) == 4
     middle = after([0] * 5 + [many] + [0] * (bins - 6))
     assert 4 < middle < 8
-    assert after([0] * (bins - 1) + [20]) == 4
+    # One link in 21 at the threshold is missed with 0.00035 by 5 values, with 0.0023 by 6; 0.0021 are allowed.
+    assert after([0] * (bins - 1) + [20]) == 5
     assert after([many] + [0] * (bins - 1), 4) == 4
 
 
