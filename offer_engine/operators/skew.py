@@ -9,9 +9,9 @@ buckets, only the shape of the plan does.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offer_engine.config import TIME
@@ -21,6 +21,8 @@ from offer_engine.config import TIME
 HEAVY_ROWS = 5_000_000
 HEAVY_SHARE = 1 / 20_000
 HASH_BUCKETS = 131_072
+# Rows of an even log that one task takes, so that its memory does not grow with the log.
+TASK_ROWS = 100_000
 
 
 def _bucket(*key: str) -> Column:
@@ -29,11 +31,13 @@ def _bucket(*key: str) -> Column:
 
 @dataclass(frozen=True)
 class LogSkew:
-    """Hash buckets of heavy accounts and of heavy instants, and the rows that made them heavy."""
+    """Hash buckets of heavy accounts and of heavy instants, the rows that made them heavy, and the
+    rows of the log (0: not counted)."""
 
     accounts: tuple[int, ...] = ()
     instants: tuple[int, ...] = ()
     heavy_rows: int = HEAVY_ROWS
+    rows: int = field(default=0, compare=False)
 
     def heavy_account(self) -> Column:
         return _bucket("account_id").isin(list(self.accounts))
@@ -49,29 +53,42 @@ def measure_skew(
     events: DataFrame, heavy_rows: int = HEAVY_ROWS, heavy_share: float = HEAVY_SHARE
 ) -> LogSkew:
     """Heavy accounts, and heavy instants if there are any. Reads two columns at most."""
-    counts = _large_buckets(events, heavy_rows, "account_id")
+    counts, total = _large_buckets(events, heavy_rows, "account_id")
     if not counts:
-        return LogSkew(heavy_rows=heavy_rows)
-    floor = max(heavy_rows, int(events.count() * heavy_share))
+        return LogSkew(heavy_rows=heavy_rows, rows=total)
+    floor = max(heavy_rows, int(total * heavy_share))
     accounts = tuple(sorted(b for b, n in counts.items() if n >= floor))
-    skew = LogSkew(accounts, heavy_rows=floor)
+    skew = LogSkew(accounts, heavy_rows=floor, rows=total)
     if not accounts:
         return skew
     # An instant belongs to one account, so heavy ones can only be found here.
-    instants = _large_buckets(events.filter(skew.heavy_account()), floor, "account_id", TIME)
-    return LogSkew(accounts, tuple(sorted(instants)), floor)
+    instants, _ = _large_buckets(events.filter(skew.heavy_account()), floor, "account_id", TIME)
+    return LogSkew(accounts, tuple(sorted(instants)), floor, total)
+
+
+def tasks_for(rows: int, session: SparkSession) -> int:
+    """How many tasks share so many rows: as many as a shuffle has, or more for a larger log."""
+    return max(int(session.conf.get("spark.sql.shuffle.partitions")), -(-rows // TASK_ROWS))
 
 
 def place_by_account(events: DataFrame, skew: LogSkew | None = None) -> DataFrame:
     """Hash an even log by account, so that later groupings and joins by account stay in place.
 
+    The tasks are as many as the log's rows ask for: left to itself, adaptive execution joins
+    small partitions until each of a few tasks holds a share of the log that grows with it.
     A log with heavy accounts is left as it is: groupings then combine on the map side first.
     """
     skew = measure_skew(events) if skew is None else skew
-    return events if skew.accounts else events.repartition("account_id")
+    if skew.accounts:
+        return events
+    if skew.rows <= TASK_ROWS:
+        return events.repartition("account_id")
+    return events.repartition(tasks_for(skew.rows, events.sparkSession), "account_id")
 
 
-def _large_buckets(events: DataFrame, rows: int, *key: str) -> dict[int, int]:
-    """Buckets with at least so many rows: HASH_BUCKETS numbers at most."""
+def _large_buckets(events: DataFrame, rows: int, *key: str) -> tuple[dict[int, int], int]:
+    """Buckets with at least so many rows, HASH_BUCKETS numbers at most, and the count of all."""
     counted = events.groupBy(_bucket(*key).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
-    return {r["bucket"]: r["n"] for r in counted.filter(F.col("n") >= rows).collect()}
+    large = F.collect_list(F.when(F.col("n") >= rows, F.struct("bucket", "n"))).alias("large")
+    found = counted.agg(large, F.sum("n").alias("total")).first()
+    return {r["bucket"]: r["n"] for r in found["large"]}, found["total"] or 0

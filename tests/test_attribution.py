@@ -1,10 +1,11 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from fixtures import interactions, rows_of
 from offer_engine.config import NO_OFFER_ID, TIME
-from offer_engine.operators import attribution, ingest
+from offer_engine.operators import attribution, ingest, skew
 from offer_engine.operators.skew import EVEN, LogSkew, measure_skew
 
 SCHEMA = (
@@ -147,3 +148,18 @@ def test_spend_is_what_double_arithmetic_gives(spark, amounts):
     assert got.total_transactions == len(amounts)
     assert got.total_spent == pytest.approx(sum(amounts), nan_ok=True)
     assert got.avg_ticket == pytest.approx(sum(amounts) / len(amounts), nan_ok=True)
+
+
+def test_tasks_grow_with_the_log(spark, monkeypatch):
+    """Small partitions of a large log are not joined until a task's share grows with the log."""
+    df = spark.range(4000).select(
+        (F.col("id") % 500).cast("string").alias("account_id"), F.col("id").alias("event_id")
+    )
+    monkeypatch.setattr(skew, "TASK_ROWS", 100)
+    measured = measure_skew(df)
+    assert measured.rows == 4000 and measured == EVEN
+    placed = skew.place_by_account(df, measured)
+    rows = [r["n"] for r in placed.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert len(rows) > 30 and sum(rows) == 4000
+    of = placed.select("account_id", F.spark_partition_id().alias("p")).distinct()
+    assert of.count() == 500
