@@ -16,18 +16,25 @@ from offer_engine.operators.evaluation import segment_metrics
 from offer_engine.operators.split import one_row_per_key, segment_rows
 
 Models = dict[str, RandomForestRegressionModel]
+#: Forests that grow at the same time. The driver holds the open nodes of each of them.
+AT_ONCE = 2
 
 
 def train_forest(
     train: DataFrame, params: C.ForestParams = C.ForestParams(), label: str = C.LABEL
 ) -> RandomForestRegressionModel:
-    """Fit on the features column. train is read several times and should be a stored table."""
+    """Fit on the features column. train is read several times and should be a stored table.
+
+    Each row's node in every tree is kept beside it, so that the trees grown so far are neither
+    sent to every task nor walked again for every row on every level.
+    """
     forest = RandomForestRegressor(
         featuresCol="features",
         labelCol=label,
         numTrees=params.num_trees,
         maxDepth=params.max_depth,
         seed=params.seed,
+        cacheNodeIds=True,
     )
     return forest.fit(train)
 
@@ -39,16 +46,17 @@ def train_segments(
 ) -> Models:
     """A model for each segment that has training rows.
 
-    Each fit is a series of distributed jobs. The fits are started together, so that one
-    segment's small stages do not leave the cluster idle.
+    Each fit is a series of distributed jobs. AT_ONCE fits run side by side, so that one segment's
+    small stages do not leave the cluster idle, and no more, so that the driver's memory does not
+    grow with the number of segments.
     """
 
     def fit(segment: str) -> RandomForestRegressionModel | None:
         train = segment_rows(splits, segment, "train").select("features", C.LABEL)
         return None if train.isEmpty() else train_forest(train, params)
 
-    with ThreadPool(max(len(segments), 1)) as pool:
-        fitted = pool.map(inheritable_thread_target(splits.sparkSession)(fit), segments)
+    with ThreadPool(AT_ONCE) as pool:
+        fitted = pool.map(inheritable_thread_target(splits.sparkSession)(fit), segments, chunksize=1)
     return {segment: model for segment, model in zip(segments, fitted) if model is not None}
 
 

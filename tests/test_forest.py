@@ -1,6 +1,8 @@
 import json
 from multiprocessing.pool import ThreadPool
 import random
+import threading
+import time
 
 import pytest
 from pyspark.ml.feature import VectorAssembler
@@ -164,3 +166,25 @@ def test_two_runs_at_once_report_their_own_versions(spark, splits, tmp_path):
         loaded = campaign.saved_models(store, tuple(versions), versions)
         assert {m.getNumTrees for m in loaded.values()} == {trees}
     assert store.samples().count() > 0
+
+
+def test_few_forests_grow_at_once(splits, monkeypatch):
+    """The driver holds the open nodes of AT_ONCE forests, however many segments there are."""
+    running, most, lock = [], [], threading.Lock()
+
+    def fit(train, params, label=C.LABEL):
+        with lock:
+            running.append(1)
+            most.append(len(running))
+        time.sleep(0.2)
+        with lock:
+            running.pop()
+        return "model"
+
+    monkeypatch.setattr(forest, "train_forest", fit)
+    assert set(forest.train_segments(campaign.prepared(splits), params=SMALL)) == set(C.SEGMENTS)
+    assert max(most) <= forest.AT_ONCE
+
+
+def test_trees_are_not_sent_with_every_level(linear):
+    assert forest.train_forest(linear, SMALL).getCacheNodeIds()
