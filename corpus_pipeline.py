@@ -38,8 +38,9 @@ def stage(work):
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language, at least half of whose words hold letters.
 
-    Texts in several languages stay, however their words are shared out among these. Where no
-    document has a language to learn from, the words alone decide."""
+    Texts in several languages stay, however their words are shared out among these. lang is the
+    language found, by which the mix deals. Where no document has a language to learn from, the
+    words alone decide, and lang stays as it is."""
     names = docs.columns
     row = F.struct(*[F.col(f"`{n}`") for n in names]).alias("row")
     words = F.size(F.regexp_extract_all("text", F.lit(r"\S+"), F.lit(0)))
@@ -50,8 +51,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     learned = docs.filter(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (language.fold(F.col("doc_id"), 4) != 2)
     )
-    kept = F.col("enough") & (F.lit(learned.isEmpty()) | (F.col("lang_pred") != language.UNKNOWN))
-    return found.filter(kept).select(*[F.col("row").getField(n).alias(n) for n in names])
+    known = F.col("lang_pred") != language.UNKNOWN
+    kept = F.col("enough") & (F.lit(learned.isEmpty()) | known)
+    given = {n: F.col("row").getField(n) for n in names}
+    given["lang"] = F.when(known, F.col("lang_pred")).otherwise(given["lang"])
+    return found.filter(kept).select(*[given[n].alias(n) for n in names])
 
 
 @stage
@@ -68,8 +72,9 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @stage
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
-    return mixing.mixed(docs)
+    """Documents as often as the mix takes them, with weights for each source of each language."""
+    dealt = docs.withColumn("__dealt", F.to_json(F.struct("lang", "source")))
+    return mixing.mixed(dealt, source="__dealt").select(*[F.col(f"`{n}`") for n in docs.columns])
 
 
 @stage

@@ -83,6 +83,24 @@ def test_first_stage_keeps_clean_documents(spark):
     assert {r.doc_id for r in corpus_pipeline.language_id(spark, unlabelled, SF).collect()} == wanted
 
 
+def test_language_found_decides_the_mix(spark):
+    """A document without a language, or with another's, is dealt with those of the one found."""
+    rng = random.Random(2)
+    tongues = {k: [f"{k}{i}{k[::-1]}" for i in range(40)] for k in ("ab", "cd")}
+    text = lambda k, n: " ".join(rng.choice(tongues[k]) for _ in range(n))
+    rows = [(i, text(k, 40), k, "a", 0) for i in range(200) for k in [("ab", "cd")[i % 2]]]
+    odd = [(1000 + i, text("cd", 40), None if i % 2 else "ab", "a", 0) for i in range(10)]
+    docs = table(spark, rows + odd)
+    found = corpus_pipeline.language_id(spark, docs, SF)
+    langs = {r.doc_id: r.lang for r in found.collect()}
+    assert all(langs[r[0]] == r[2] for r in rows) and all(langs[r[0]] == "cd" for r in odd)
+    # ab weighs 3 and cd 1: with all documents of a source in one language, each share differs.
+    mixed = lambda df: sorted(r.doc_id for r in corpus_pipeline.mix(spark, df, SF).collect())
+    assert mixed(found) != mixed(docs)
+    unknown = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert mixed(corpus_pipeline.language_id(spark, unknown, SF)) == mixed(unknown)
+
+
 def test_stages_remove_what_earlier_ones_stored(spark, tmp_path):
     docs = table(spark, [(i, words(i % 20, 60, 300), "en", "a", 0) for i in range(60)])
     root = Path(spark.conf.get("spark.checkpoint.dir"))
