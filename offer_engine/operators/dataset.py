@@ -21,12 +21,13 @@ def with_dimension(rows: DataFrame, offers: DataFrame, few: int = FEW_ROWS) -> D
 
     The offers are counted once. Up to `few` rows of them are broadcast, so the rows stay where they
     are. Beyond, rows with an offer are shuffled by it, and rows without one, which may be most, are
-    not: their attributes are null anyway.
+    not: their attributes are null anyway. Each task holds its offers in a hash table and lets the
+    rows pass, so an offer with very many rows takes time but no memory.
     """
     if offers.limit(few + 1).count() <= few:
         return rows.join(F.broadcast(offers), "offer_id", "left")
     none = F.col("offer_id").isNull() | (F.col("offer_id") == C.NO_OFFER_ID)
-    joined = rows.filter(~none).join(offers, "offer_id", "left")
+    joined = rows.filter(~none).join(offers.hint("shuffle_hash"), "offer_id", "left")
     # An offers table may list the missing offer itself.
     listed = offers.filter(F.col("offer_id") == C.NO_OFFER_ID)
     return joined.unionByName(rows.filter(none).join(F.broadcast(listed), "offer_id", "left"))

@@ -22,7 +22,7 @@ HEAVY_ROWS = 5_000_000
 HEAVY_SHARE = 1 / 20_000
 HASH_BUCKETS = 131_072
 # Rows of an even log that one task takes, so that its memory does not grow with the log.
-TASK_ROWS = 100_000
+TASK_ROWS = 50_000
 
 
 def _bucket(*key: str) -> Column:

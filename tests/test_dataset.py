@@ -115,3 +115,13 @@ def test_only_rows_with_an_offer_are_shuffled_by_it(spark, monkeypatch):
     kept = [line for line in plan.splitlines() if "Filter" in line]
     assert any("NOT" in line and "no offer" in line for line in kept)
     assert any("isnull" in line and "no offer" in line for line in kept)
+
+
+def test_a_popular_offer_is_not_sorted(spark):
+    """Beyond few offers, each task holds its offers, and their rows pass through it."""
+    rows = spark.createDataFrame([(i, "o1" if i % 5 else f"o{i}") for i in range(50)], "n int, offer_id string")
+    offers = spark.createDataFrame([(f"o{i}", i) for i in range(0, 30)], "offer_id string, cost int")
+    joined = dataset.with_dimension(rows, offers, few=3)
+    assert "ShuffledHashJoin" in joined._jdf.queryExecution().sparkPlan().toString()
+    want = {(i, 1 if i % 5 else (i if i < 30 else None)) for i in range(50)}
+    assert {(r.n, r.cost) for r in joined.collect()} == want
