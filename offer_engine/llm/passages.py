@@ -30,7 +30,6 @@ from pyspark.sql import functions as F
 
 from offer_engine.llm.common import joined_groups, packed, ship, stored, unpacked
 from offer_engine.llm.slots import (
-    SLOT_BYTES,
     bucket_bits,
     digest_of,
     merged,
@@ -46,8 +45,11 @@ from offer_engine.llm.slots import (
 
 #: Words of a block; a window has twice as many.
 BLOCK = 25
+#: Bytes of text of a slot. A task holds some twenty times as much: hashes of eight bytes a word,
+#: and of every window of a text that repeats.
+SLOT = 1 << 22
 #: Bytes of text hashed at once; a longer word is hashed whole.
-PIECE = 1 << 20
+PIECE = 1 << 18
 #: Odd bases of the two hashes, for bytes and for words, and what spreads their bits.
 BYTE_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 WORD_BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
@@ -71,7 +73,7 @@ def _powers(base: int, bits: int) -> np.ndarray:
 
 def powers(base: int, n: int) -> np.ndarray:
     """base ** 0 ... base ** n modulo 2 ** 64."""
-    return _powers(base, max(20, int(n).bit_length()))[: n + 1]
+    return _powers(base, max(18, int(n).bit_length()))[: n + 1]
 
 
 def rolled(values: np.ndarray, base: int, first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -322,7 +324,7 @@ def removing(block: int):
     return remove
 
 
-def repeats(rows: DataFrame, block: int = BLOCK, slot_bytes: int = SLOT_BYTES) -> DataFrame:
+def repeats(rows: DataFrame, block: int = BLOCK, slot_bytes: int = SLOT) -> DataFrame:
     """One row per text from rows of digest, id and text: its least id, number of rows, words,
     repeats and digests of what is left and of the whole."""
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -337,7 +339,7 @@ def repeats(rows: DataFrame, block: int = BLOCK, slot_bytes: int = SLOT_BYTES) -
 
 
 def without_repeats(
-    docs: DataFrame, block: int = BLOCK, text: str = "text", key: str = "doc_id", columns=None, slot_bytes: int = SLOT_BYTES
+    docs: DataFrame, block: int = BLOCK, text: str = "text", key: str = "doc_id", columns=None, slot_bytes: int = SLOT
 ) -> DataFrame:
     """The named columns of docs (all by default) for every row with n_words, n_removed,
     kept_sha256 and spans, the runs of words to remove as (start, length)."""

@@ -1,9 +1,12 @@
 import hashlib
+import inspect
 import random
 import re
+import tracemalloc
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from offer_engine.llm import passages, slots
@@ -118,3 +121,24 @@ def test_query_like_brute_force_and_sql(spark):
     con.sql("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
     con.executemany("INSERT INTO documents VALUES (?, ?)", [r[:2] for r in edge])
     assert sorted(con.sql(ORACLE["op12_passages"]).fetchall(), key=repr) == brute(edge, 50)
+
+
+def test_a_slot_of_common_windows_takes_bounded_memory():
+    size = inspect.signature(passages.repeats).parameters["slot_bytes"].default
+    rng = np.random.default_rng(1)
+    texts = [rng.integers(97, 123, 40_000, np.uint8) for _ in range(size // 40_000)]
+    for t in texts:
+        t[4::5] = 32
+    texts = [t.tobytes().decode() for t in texts]
+    kinds = [("digest", pa.binary()), ("id", pa.int64()), ("text", pa.string()), ("n", pa.int64())]
+    columns = [[str(i).encode() for i in range(len(texts))], list(range(len(texts))), texts, [1] * len(texts)]
+    slot = pa.table([pa.array(c, k) for c, (_, k) in zip(columns, kinds, strict=True)], names=[n for n, _ in kinds])
+    asked = passages.asking(3, 25)((pa.scalar(0),), slot)
+    blocks = [slots.unpack_sorted(b, np.uint32) for b in asked.column("blocks").to_pylist()]
+    answers = {"slot": [0] * len(blocks), "bucket": asked.column("bucket").to_pylist(), "keys": [slots.pack_sorted(b) for b in blocks]}
+    tracemalloc.start()
+    windows = passages.extending(3, 25)((pa.scalar(0),), slot, slots.rows_of(answers, passages.ANCHORS))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(len(x) for x in windows.column("low").to_pylist()) // 8 > 0.9 * size / 5
+    assert most < 250_000_000
