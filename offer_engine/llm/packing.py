@@ -43,7 +43,7 @@ K1, B = 1.2, 0.75
 REMEMBERED = 80_000_000
 ENTRY = 150
 #: Tokens that a task hands on at once.
-BATCH_TOKENS = 1 << 20
+BATCH_TOKENS = 1 << 17
 
 PIECE = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
@@ -54,7 +54,8 @@ def encoder(vocabulary: str, code: str) -> Callable[[str], bytes]:
     array of the type code.
 
     For the lower-case BPE whose tokens never reach over white space, chunks between white space
-    are encoded once and remembered, and chunks of Latin letters go straight to the BPE model.
+    are encoded once and remembered, and chunks of Latin letters go straight to the BPE model. A
+    Latin text is lowered first, which leaves fewer chunks.
     Any other tokenizer encodes whole texts. A worker process keeps the encoder for later tasks.
     """
     import regex
@@ -82,23 +83,28 @@ def encoder(vocabulary: str, code: str) -> Callable[[str], bytes]:
     hidden = [b for b in range(256) if b not in set(shown)]
     letters = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
     normal = unicodedata.normalize
+    beyond = re.compile("[^\x00-\u012f\u0131-\u024f]").search
     latin = re.compile("[!-~\u00a1-\u012f\u0131-\u024f]+").fullmatch
     # Python also splits at four control characters that are no white space here.
     odd = re.compile("[\x1c-\x1f]").search
     space = re.compile("[ \t-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+").split
     # Chunks and their pieces, in two generations: what is used moves to the newer one, and when
     # that is full the older one goes.
-    new: dict[str, bytes] = {}
-    old: dict[str, bytes] = {}
     size = 0
 
+    class Chunks(dict):
+        """Chunks are encoded when they are first asked for."""
+
+        def __missing__(self, chunk: str) -> bytes:
+            return remembered(chunk, of_chunk)
+
+    new, old = Chunks(), {}
+
     def remembered(chunk: str, make: Callable[[str], bytes]) -> bytes:
-        nonlocal new, old, size
+        nonlocal size
         found = old.get(chunk)
         if found is None:
             found = make(chunk)
-        if size > REMEMBERED:
-            old, new, size = new, {}, 0
         new[chunk] = found
         size += ENTRY + len(chunk) + len(found)
         return found
@@ -111,17 +117,26 @@ def encoder(vocabulary: str, code: str) -> Callable[[str], bytes]:
     def of_chunk(chunk: str) -> bytes:
         if not latin(chunk) or special(chunk):
             return array(code, full.encode(chunk, add_special_tokens=False).ids).tobytes()
-        found = pieces(normal("NFC", chunk).lower())
+        if chunk.isalpha():
+            low = chunk.lower()
+            return of_piece(low) if low == chunk else new.get(low) or remembered(low, of_piece)
+        if chunk[-1] in ".,;:!?" and chunk[:-1].isalpha():
+            found = [chunk[:-1].lower(), chunk[-1]]
+        else:
+            found = pieces(normal("NFC", chunk).lower())
         if found == [chunk]:
             return of_piece(chunk)
         return b"".join([new.get(p) or remembered(p, of_piece) for p in found])
 
     def encode(text: str) -> bytes:
-        chunks = space(text) if odd(text) else text.split()
-        found = list(map(new.get, chunks))
-        if None in found:
-            found = [f or new.get(c) or remembered(c, of_chunk) for c, f in zip(chunks, found, strict=True)]
-        return b"".join(found)
+        nonlocal new, old, size
+        if size > REMEMBERED:
+            old, new, size = new, Chunks(), 0
+        if text.isascii() or not beyond(text):
+            low = text.lower()
+            if not special(text) and not special(low):
+                text = low
+        return b"".join(map(new.__getitem__, space(text) if odd(text) else text.split()))
 
     return encode
 
@@ -131,14 +146,19 @@ def scrambled(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def lexical_key(ids: np.ndarray) -> int:
-    """Half the bits from the least hash of a token, half from the least hash of a pair."""
+def lexical_keys(tails: list[np.ndarray]) -> list[int]:
+    """Of each document half the bits from the least hash of a token, half from that of a pair."""
+    if not tails:
+        return []
     half = np.uint64((1 << KEY_BITS // 2) - 1)
-    one = scrambled(ids).min()
-    pairs = ids[:-1].astype(np.uint64) << np.uint64(32) | ids[1:].astype(np.uint64)
-    two = scrambled(pairs).min() if len(pairs) else one
-    top, low = (scrambled(np.array([x]))[0] >> np.uint64(40) & half for x in (one, two))
-    return int(top) << KEY_BITS // 2 | int(low)
+    lengths = np.array([len(t) for t in tails])
+    first, ids = np.cumsum(lengths) - lengths, np.concatenate(tails).astype(np.uint64)
+    one = np.minimum.reduceat(scrambled(ids), first)
+    pairs = np.append(scrambled(ids[:-1] << np.uint64(32) | ids[1:]), np.uint64(0))
+    pairs[first + lengths - 1] = np.iinfo(np.uint64).max  # no pair begins at a last token
+    two = np.where(lengths > 1, np.minimum.reduceat(pairs, first), one)
+    top, low = (scrambled(x) >> np.uint64(40) & half for x in (one, two))
+    return (top << np.uint64(KEY_BITS // 2) | low).tolist()
 
 
 def tokenized(vocabulary, window: int, end: int, slim: np.dtype):
@@ -150,9 +170,12 @@ def tokenized(vocabulary, window: int, end: int, slim: np.dtype):
         part = TaskContext.get().partitionId()
         windows = waiting = 0
         out: list[tuple] = []
+        tails: list[np.ndarray] = []
 
         def flushed():
-            cols = list(zip(*out, strict=True)) if out else [[]] * 7
+            keys = iter(lexical_keys(tails))
+            cols = list(zip(*out, strict=True)) if out else [[]] * 6
+            cols.append([next(keys) if number is None else None for number in cols[5]])
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32())
             names = ("doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "key")
             return pa.RecordBatch.from_pydict(
@@ -166,14 +189,15 @@ def tokenized(vocabulary, window: int, end: int, slim: np.dtype):
                 for at in range(0, n - window + 1, window):
                     number = (part << 40 | windows) * 2 + 1
                     windows += 1
-                    out.append((doc, at, window, ids[at : at + window].tobytes(), n, number, None))
+                    out.append((doc, at, window, ids[at : at + window].tobytes(), n, number))
                 if rest := n % window:
-                    tail = ids[n - rest :]
-                    out.append((doc, n - rest, rest, tail.tobytes(), n, None, lexical_key(tail)))
+                    tails.append(ids[n - rest :])
+                    out.append((doc, n - rest, rest, tails[-1].tobytes(), n, None))
                 waiting += n
                 if waiting >= BATCH_TOKENS:
                     yield flushed()
                     out.clear()
+                    tails.clear()
                     waiting = 0
         yield flushed()
 

@@ -87,3 +87,22 @@ def test_retrieval_prefers_like_documents():
 def test_large_keys_are_dealt_to_shards_of_bounded_size():
     plan = packing.shards([(1, 10), (2, 95), (3, 30), (4, 1000), (5, 5)], 100)
     assert plan == [(1, 0, 1), (2, 1, 1), (3, 2, 1), (4, 3, 10), (5, 13, 1)]
+
+
+def test_latin_texts_are_cut_like_the_library():
+    encode = packing.encoder(open(VOCABULARY, encoding="utf-8").read(), "H")
+    signs = ["a.. b", "a., b. c", "x_. y_ .", "3. 4, 5!", "l'été, ÉTÉ: Straße? oui ! it's. IT'S, ", "e.g. i.e., \"q.\" (w). ", "Ⱥ. Ⱦ, ª! µ? ", "a .b . c", ". , ; a.\tb.\nc."]
+    near = ["a. <|ENDOFTEXT|> B, c", "A. <|endoftext|> B, C.", "\x1c. a\x1d, B. c", "İ. É, x", "n\u0303. A, b"]
+    for t in signs + near + [s.upper() for s in signs]:
+        assert list(np.frombuffer(encode(t), "<u2")) == LIBRARY.encode(t, add_special_tokens=False).ids, t
+
+
+def test_keys_of_many_documents():
+    tails = [np.array(x, "<u2") for x in ([2], [5, 2], [7, 7, 2], list(range(9, 4000)), [5, 2])]
+    alone = [packing.lexical_keys([t])[0] for t in tails]
+    assert packing.lexical_keys(tails) == alone and alone[1] == alone[4] and packing.lexical_keys([]) == []
+    for t, key in zip(tails, alone, strict=True):
+        pairs = t[:-1].astype(np.uint64) << np.uint64(32) | t[1:]
+        least = [packing.scrambled(x).min() for x in (t, pairs if len(pairs) else t)]
+        top, low = (int(packing.scrambled(np.array([x]))[0]) >> 40 & 127 for x in least)
+        assert key == top << 7 | low
