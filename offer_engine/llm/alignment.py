@@ -7,7 +7,8 @@ Where tokens of both end, a group ends; tokens whose bytes overlap are linked. H
 hold a linked pair of ids is counted over the whole corpus and told back to every document.
 
 Neither tokenizer joins what lies before a space to what follows it, so a text is encoded in chunks
-that begin with a space after another character. Chunks are remembered by a worker, up to
+that begin with a space after another character. Signs that end a word of Latin letters are chunks
+of their own if no piece of the second vocabulary has a letter before them. Chunks are remembered by a worker, up to
 REMEMBERED bytes, those met again for longer; groups and links never leave a chunk. New chunks are
 encoded a line at a time. Texts lie in slots (see `slots`) and are encoded once: a slot stores its
 texts' groups and which of its pairs each text holds how often, and sends the pairs and in how many
@@ -24,6 +25,7 @@ an empty one.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -49,24 +51,29 @@ from offer_engine.llm.slots import (
 )
 
 #: Bytes of chunks and what is known of them that a worker remembers, and a chunk's own share.
-REMEMBERED = 5 << 25
+REMEMBERED = 7 << 25
 ENTRY = 400
 COUNT = 40
 #: Characters of a line of chunks that are encoded together, and bytes of texts aligned together.
 LINE = 1 << 16
-PORTION = 1 << 20
+PORTION = 1 << 18
 #: Bytes of text of a slot, and tasks at most for all slots.
 SLOT = 1 << 22
 TASKS = 100_000
 
 ADDED = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
-_chunks = re.compile(r" \s*\S*(?:[^\S ]\s*\S*)*").findall
+SIGNS = ".,;:!?"
+LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_plain = r" \s*\S*(?:[^\S ]\s*\S*)*"
+_chunks = re.compile(_plain).findall
+_parted = re.compile(rf" [{LETTERS}]+(?= |[{SIGNS}]+(?: |\Z))|[{SIGNS}]+(?= |\Z)|{_plain}").findall
 
 
-def chunks(line: str) -> list[str]:
+def chunks(line: str, parted: bool = False) -> list[str]:
     """A line that begins with a space, cut before each space that follows another character than
-    white space and is not part of the line's end."""
-    found = _chunks(line)
+    white space and is not part of the line's end. With `parted` also between a word of Latin
+    letters and the signs that end it."""
+    found = (_parted if parted else _chunks)(line)
     if len(found) > 1 and found[-1].isspace():
         found[-2:] = [found[-2] + found[-1]]
     return found
@@ -120,6 +127,17 @@ class Aligner:
         self.a_length, self.b_length = (np.array([len(t) for t in x]) for x in (self.a_bytes, self.b_bytes))
         # A token's number with what follows it: another of its side, the other side, a next group.
         self.marked = [f"{i}{mark}" for mark, x in ((",", self.a_bytes), ("|", self.a_bytes), (",", self.b_bytes), (";", self.b_bytes)) for i in range(len(x))]
+        # The first one never joins letters and signs if it cuts by its own pattern; nor does the
+        # second if no piece has them so.
+        plan = json.loads(first)
+        kind = plan.get("pre_tokenizer") or {}
+        joined = re.compile(f"[{LETTERS}][{SIGNS}]").search
+        self.parted = (
+            kind.get("type") == "ByteLevel"
+            and kind.get("use_regex", True)
+            and not plan.get("normalizer")
+            and not any(joined(self.b.id_to_piece(i)) for i in range(len(self.b_bytes)))
+        )
         self.groups = groups
         # Of each chunk the linked pairs of ids, its groups (each followed by `;`), and its numbers of
         # tokens and groups, COUNT bits each: plain values, which the collector need not visit.
@@ -211,13 +229,16 @@ class Aligner:
         """The chunks of each text, all of them known now; None if a text has no tokens."""
         if self.size > REMEMBERED:
             self.forget()
-        found = [chunks(" " + t.decode()) if t else [] for t in texts]
+        found = [chunks(" " + t.decode(), self.parted) if t else [] for t in texts]
         waiting, size = [], 0
         met = set().union(*found)
         new = met.difference(self.links, self.broken)
         self.again |= met - new
         for chunk in new:
             # What ends in white space, or has the sign that stands for it, would meet the next chunk.
+            if chunk[0] != " ":
+                self.learn([" a", chunk])
+                continue
             if chunk[-1].isspace() or "▁" in chunk:
                 self.learn([chunk])
                 continue
@@ -288,12 +309,12 @@ def holding(first, second, bits: int, with_groups: bool):
         for part in portions(merged(table), PORTION):
             for found, (digest, _, _, n) in zip(align([t for _, _, t, _ in part]), part, strict=True):
                 found = found or []
-                own = np.frombuffer(b"".join([align.links[c] for c in found]), np.uint64)
+                own = np.frombuffer(b"".join(map(align.links.__getitem__, found)), np.uint64)
                 own, often = np.unique(own, return_counts=True)
                 pairs.append(own)
                 times.append(often)
-                total = sum([align.counts[c] for c in found])
-                groups = "".join([align.written[c] for c in found])[:-1]
+                total = sum(map(align.counts.__getitem__, found))
+                groups = "".join(map(align.written.__getitem__, found))[:-1]
                 sha = hashlib.sha256(groups.encode()).hexdigest() if found else ""
                 row = slot, digest, n, total >> 2 * COUNT, total >> COUNT & mask, total & mask, sha, groups if with_groups else None
                 for name, value in zip(TEXTS.names, row):

@@ -174,3 +174,23 @@ def test_query_like_brute_force(spark):
         pairs, found = held[id_], got[id_]
         assert found[4:7] == (len(pairs), sum(docs[p] == most[p[0]] for p in pairs), sum(docs[p] for p in pairs))
         assert bool(align([(text or "").encode()])[0]) == bool(pairs) == bool(found[7])
+
+
+def test_signs_behind_words_are_chunks_of_their_own():
+    align = alignment.Aligner(open(A, encoding="utf-8").read(), open(B, "rb").read())
+    texts = ["word, word. Word! word?! word", "a, ", "é.  b", "x.y, z_. 3. q,\n r;", "a,", "w... w.,; w:", "end. ", "it's, (b). ², ½. ª.", "n\u0303, e.\u0301 ."]
+    lines = align([t.encode() for t in texts])
+    assert lines[0] == [" word", ",", " word", ".", " Word", "!", " word", "?!", " word"]
+    for text, found in zip(texts, lines, strict=True):
+        if (want := brute([text])[0])[0]:
+            assert "".join(found) == " " + text
+            assert hashlib.sha256("".join(align.written[c] for c in found)[:-1].encode()).hexdigest() == want[-1], text
+            assert sum(len(align.links[c]) // 8 for c in found) == want[3]
+        else:
+            assert found is None
+
+
+def test_signs_stay_with_words_where_a_piece_joins_them(monkeypatch):
+    align = alignment.Aligner(open(A, encoding="utf-8").read(), open(B, "rb").read())
+    align.parted = False
+    assert align([b"word, word."]) == [[" word,", " word."]]
