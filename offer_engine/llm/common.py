@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import shutil
-import tempfile
 from collections.abc import Sequence
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from offer_engine.sources.shipped import ship  # noqa: F401  for the operators
 from offer_engine.sources.tables import shared_folder, store
 
 #: Rows of a bucket that is ordered in one task: a few hundred, up to BUCKETS buckets; with more
@@ -22,19 +20,6 @@ BROADCAST_ROWS = 50_000
 #: A group with more than rows / HEAVY_GROUPS members is heavy.
 HEAVY_GROUPS = 1000
 
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Hand this package's code to the Python workers of all executors, once an application."""
-    context = spark.sparkContext
-    if context.applicationId not in _shipped:
-        package = Path(__file__).resolve().parents[1]
-        name = f"{tempfile.mkdtemp()}/{package.name}"
-        context.addPyFile(shutil.make_archive(name, "zip", package.parent, package.name))
-        _shipped.add(context.applicationId)
-
-
 def stored(df: DataFrame) -> DataFrame:
     """df written to a new shared folder and read back."""
     return store(df, shared_folder(df.sparkSession))

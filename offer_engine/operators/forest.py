@@ -7,36 +7,28 @@ from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
-from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from offer_engine import config as C
 from offer_engine.operators.evaluation import segment_metrics
 from offer_engine.operators.split import one_row_per_key, segment_rows
+from offer_engine.operators.trees import Forest, fit
 
-Models = dict[str, RandomForestRegressionModel]
-#: Forests that grow at the same time. The driver holds the open nodes of each of them.
+Models = dict[str, Forest]
+#: Forests that grow at the same time. The driver holds the finished trees of each of them.
 AT_ONCE = 2
 
 
 def train_forest(
     train: DataFrame, params: C.ForestParams = C.ForestParams(), label: str = C.LABEL
-) -> RandomForestRegressionModel:
-    """Fit on the features column. train is read several times and should be a stored table.
+) -> Forest:
+    """Fit on the features column. train is read twice and should be a stored table.
 
-    Each row's node in every tree is kept beside it, so that the trees grown so far are neither
-    sent to every task nor walked again for every row on every level.
+    Trees grow whole in the executors (`trees.py`), each row's node beside it, so the driver holds
+    no open nodes and a forest is a few jobs, however deep it is.
     """
-    forest = RandomForestRegressor(
-        featuresCol="features",
-        labelCol=label,
-        numTrees=params.num_trees,
-        maxDepth=params.max_depth,
-        seed=params.seed,
-        cacheNodeIds=True,
-    )
-    return forest.fit(train)
+    return fit(train, label, params.num_trees, params.max_depth, params.seed)
 
 
 def train_segments(
@@ -47,11 +39,11 @@ def train_segments(
     """A model for each segment that has training rows.
 
     Each fit is a series of distributed jobs. AT_ONCE fits run side by side, so that one segment's
-    small stages do not leave the cluster idle, and no more, so that the driver's memory does not
-    grow with the number of segments.
+    small stages do not leave the cluster idle, and no more, so that the memory that growing takes
+    does not depend on the number of segments.
     """
 
-    def fit(segment: str) -> RandomForestRegressionModel | None:
+    def fit(segment: str) -> Forest | None:
         train = segment_rows(splits, segment, "train").select("features", C.LABEL)
         return None if train.isEmpty() else train_forest(train, params)
 
@@ -61,12 +53,12 @@ def train_segments(
 
 
 def score(
-    model: RandomForestRegressionModel, df: DataFrame, prediction: str = "prediction"
+    model: Forest, df: DataFrame, prediction: str = "prediction"
 ) -> DataFrame:
     return model.copy().setPredictionCol(prediction).transform(df)
 
 
-def score_own_segment(models: Mapping[str, RandomForestRegressionModel], df: DataFrame) -> DataFrame:
+def score_own_segment(models: Mapping[str, Forest], df: DataFrame) -> DataFrame:
     """Each row scored by the model of its own segment; rows without a model are left out.
 
     Segments are filtered and scored apart, so a row passes through one forest, not all.
@@ -78,7 +70,7 @@ def score_own_segment(models: Mapping[str, RandomForestRegressionModel], df: Dat
 
 
 def evaluate_segments(
-    models: Mapping[str, RandomForestRegressionModel], splits: DataFrame
+    models: Mapping[str, Forest], splits: DataFrame
 ) -> DataFrame:
     """Metrics of every model on the test side of its segment, in one job."""
     test = splits.filter(F.col("split") == "test")
@@ -91,7 +83,7 @@ def account_rows(df: DataFrame, order: Sequence[str]) -> DataFrame:
 
 
 def score_accounts(
-    models: Mapping[str, RandomForestRegressionModel], accounts: DataFrame
+    models: Mapping[str, Forest], accounts: DataFrame
 ) -> DataFrame:
     """Every account scored by every segment's model, as pred_<segment> columns.
 

@@ -7,7 +7,6 @@ from collections.abc import Mapping, Sequence
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
-from pyspark.ml.regression import RandomForestRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
@@ -17,6 +16,7 @@ from offer_engine import schemas
 from offer_engine.operators import dataset, evaluation, features, forest, ingest, split, uplift
 from offer_engine.operators.attribution import attribute_offers
 from offer_engine.operators.skew import LogSkew
+from offer_engine.operators.trees import Forest
 from offer_engine.sources.models import ModelStore
 from offer_engine.sources.tables import (
     create_namespace,
@@ -105,7 +105,7 @@ def train(
     params: C.ForestParams = C.ForestParams(),
     segments: Sequence[str] = C.SEGMENTS,
     models_in: ModelStore | None = None,
-) -> tuple[Mapping[str, RandomForestRegressionModel], DataFrame]:
+) -> tuple[Mapping[str, Forest], DataFrame]:
     """Fit and evaluate a model per segment; save them where a store is given.
 
     splits is a stored table with a split column. Returns the models and their metrics, with the
@@ -146,7 +146,7 @@ def saved_models(
     models_in: ModelStore,
     segments: Sequence[str] = C.SEGMENTS,
     versions: Mapping[str, int] | None = None,
-) -> Mapping[str, RandomForestRegressionModel]:
+) -> Mapping[str, Forest]:
     """The saved model of each segment that has one, the newest unless a version is given."""
     saved = {r["model"] for r in models_in.runs().select("model").distinct().collect()}
     versions = versions or {}
@@ -169,7 +169,7 @@ def evaluate_saved(
 
 
 def scored_accounts(
-    models: Mapping[str, RandomForestRegressionModel], table: DataFrame
+    models: Mapping[str, Forest], table: DataFrame
 ) -> DataFrame:
     """Every account of the training table scored by every model.
 

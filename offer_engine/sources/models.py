@@ -11,6 +11,8 @@ from pyspark.ml.regression import RandomForestRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from offer_engine.operators.trees import FOLDER, Forest
+
 RUNS_SCHEMA = (
     "model string, version int, path string, params map<string,string>, "
     "metrics map<string,double>, features array<string>, signature string, sample string"
@@ -60,7 +62,7 @@ class ModelStore:
     def save(
         self,
         name: str,
-        model: RandomForestRegressionModel,
+        model: Forest,
         params: Mapping[str, object],
         metrics: Mapping[str, float],
         features: list[str],
@@ -75,7 +77,7 @@ class ModelStore:
         newest = self.runs().filter(F.col("model") == name).agg(F.max("version")).first()[0]
         version = self._claimed(name, (newest or 0) + 1)
         path = f"{self.root}/{name}/v={version}"
-        model.write().save(path)
+        model.save(path, self.spark)
         order = [c for c in ("account_id", "offer_id") if c in train.columns]
         first = (train.orderBy(*order) if order else train).limit(SAMPLE)
         sample = model.transform(first.select("features")).select("features", "prediction")
@@ -107,12 +109,16 @@ class ModelStore:
         )
         return self.runs().select("model", "version", F.inline(lines.cast(kind)))
 
-    def load(self, name: str, version: int | None = None) -> RandomForestRegressionModel:
-        """A version of a model, by default the newest."""
+    def load(self, name: str, version: int | None = None) -> Forest | RandomForestRegressionModel:
+        """A version of a model, by default the newest, also one saved by Spark ML."""
         runs = self.runs().filter(F.col("model") == name)
         if version is not None:
             runs = runs.filter(F.col("version") == version)
         found = runs.agg(F.max_by("path", "version")).first()[0]
         if found is None:
             raise LookupError(f"no model {name} version {version or 'latest'}")
+        own = self.spark._jvm.org.apache.hadoop.fs.Path(found, FOLDER)
+        conf = self.spark._jsparkSession.sessionState().newHadoopConf()
+        if own.getFileSystem(conf).exists(own):
+            return Forest.load(found, self.spark)
         return RandomForestRegressionModel.load(found)
